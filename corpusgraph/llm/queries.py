@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import encode, split
+from corpusgraph.llm import canonical, encode, skeleton, split
 from corpusgraph.session import read_table
 
 
@@ -30,7 +30,54 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, d, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p7_ids": p7_ids}
+def _reference(spark: SparkSession, d: str) -> dict[str, list]:
+    return {
+        "agency": canonical.entries_of(read_table(spark, d, "ref_agencies"), "agency_id", ["name"], ["acronym"]),
+        "incident_location": canonical.entries_of(read_table(spark, d, "ref_locations"), "location_id", ["name", "alt_name"]),
+    }
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The reference entry of every non-blank agency and place, or none."""
+    df = read_table(spark, d, "image_records")
+    a, b = (canonical.map_values(df, "id", field, entries) for field, entries in _reference(spark, d).items())
+    return a.unionByName(b)
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Report of the values that belong to no entry: field, value and in how many rows it stands."""
+    df = read_table(spark, d, "image_records")
+    parts = []
+    for field, entries in _reference(spark, d).items():
+        none = canonical.map_values(df, "id", field, entries).where(F.col("ref_id") == canonical.NONE)
+        values = df.select("id", F.col(field).alias("value")).where("value is not null").distinct()
+        parts.append(values.join(none, "id", "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("field", F.lit(field)))
+    return parts[0].unionByName(parts[1]).select("field", "value", "n_rows")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of rows whose whole text looks the same and is stored differently."""
+    a = skeleton.equal_looks(read_table(spark, d, "image_records"), "id", "description").withColumn("src", F.lit("image_records"))
+    b = skeleton.equal_looks(read_table(spark, d, "ocr_results"), "result_id", "text").withColumn("src", F.lit("ocr_results"))
+    return a.unionByName(b).select("src", "key_a", "key_b")
+
+
+def p5_forms(spark: SparkSession, d: str) -> DataFrame:
+    """All texts of both tables in their one consistent form."""
+    a = skeleton.normalized(read_table(spark, d, "image_records"), "id", "description").select(F.lit("image_records").alias("src"), F.col("id").alias("key"), "form")
+    b = skeleton.normalized(read_table(spark, d, "ocr_results"), "result_id", "text").select(F.lit("ocr_results").alias("src"), F.col("result_id").alias("key"), "form")
+    return a.unionByName(b)
+
+
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_pieces": p3_pieces,
+    "p4_found": p4_found,
+    "p4_unmatched": p4_unmatched,
+    "p5_found": p5_found,
+    "p5_forms": p5_forms,
+    "p7_ids": p7_ids,
+}
 
 ORACLES = {
     "p3_found": """
