@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import canonical, encode, skeleton, split
-from corpusgraph.session import read_table
+from corpusgraph.llm import canonical, encode, pack, skeleton, split
+from corpusgraph.session import checkpoint, read_table
 
 
 def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -69,6 +69,12 @@ def p5_forms(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def p8_slots(spark: SparkSession, d: str) -> DataFrame:
+    """The container, and the place in it, of every part of every non-empty document."""
+    sizes = checkpoint(encode.count_tokens(read_table(spark, d, "documents").where("text <> ''")))
+    return pack.pack(sizes, "doc_id", "n_tokens")
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
@@ -77,6 +83,7 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_ids": p7_ids,
+    "p8_slots": p8_slots,
 }
 
 ORACLES = {
