@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import canonical, encode, pack, skeleton, split
+from corpusgraph.llm import canonical, encode, pack, site_lines, skeleton, split
 from corpusgraph.session import checkpoint, read_table
 
 
@@ -30,6 +30,34 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, d, "documents"))
 
 
+def scanned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Good results with their record and page (doc, source, cluster, text), and each record's count of non-empty pages."""
+    at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), "record_id", "page").where("path is not null").distinct()
+    ok = read_table(spark, d, "ocr_results").where("status = 'ok' and trim(text) <> ''")
+    sizes = ok.select("path").distinct().join(at, "path").groupBy(F.col("record_id").alias("source")).agg(F.countDistinct("page").alias("clusters"))
+    docs = ok.join(at, "path").select(F.col("result_id").alias("doc"), F.col("record_id").alias("source"), F.col("page").alias("cluster"), "text")
+    return docs, sizes
+
+
+def p2_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """Every occurrence of a line repeated over a record's pages, with its main printing and count."""
+    found = site_lines.repeated_lines(*scanned(spark, d))
+    return found.select(F.col("doc").alias("result_id"), "line_no", F.col("source").alias("record_id"), "key", "n_clusters")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Occurrences of repeated lines."""
+    return p2_occurrences(spark, d).select("result_id", "line_no").distinct()
+
+
+def p2_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Page texts without the repeated lines of their record."""
+    docs, sizes = scanned(spark, d)
+    found = site_lines.repeated_lines(docs, sizes)
+    out = site_lines.drop_lines(docs.select("doc", "text").distinct(), found)
+    return out.withColumnRenamed("doc", "result_id")
+
+
 def _reference(spark: SparkSession, d: str) -> dict[str, list]:
     return {
         "agency": canonical.entries_of(read_table(spark, d, "ref_agencies"), "agency_id", ["name"], ["acronym"]),
@@ -76,6 +104,9 @@ def p8_slots(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_occurrences": p2_occurrences,
+    "p2_texts": p2_texts,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
     "p4_found": p4_found,
