@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import canonical, encode, pack, site_lines, skeleton, split
+from corpusgraph.llm import canonical, encode, pack, site_lines, skeleton, split, text_quality
 from corpusgraph.session import checkpoint, read_table
 
 
@@ -30,6 +30,21 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, d, "documents"))
 
 
+def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics and verdict of every merged page, each page once."""
+    common = text_quality.common_words(read_table(spark, d, "common_words"))
+    pages = read_table(spark, d, "final_pages").where("record_id is not null and page is not null")
+    return text_quality.text_statistics(pages, ["record_id", "page"], "final_text", common).dropDuplicates(["record_id", "page"])
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with text of which more than half is no running prose."""
+    common = text_quality.common_words(read_table(spark, d, "common_words"))
+    pages = read_table(spark, d, "final_pages").where("record_id is not null and page is not null and final_text is not null")
+    stats = text_quality.text_statistics(pages, ["record_id", "page"], "final_text", common)
+    return stats.where("verdict not in ('prose', 'empty')").select("record_id", "page").distinct()
+
+
 def scanned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Good results with their record and page (doc, source, cluster, text), and each record's count of non-empty pages."""
     at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), "record_id", "page").where("path is not null").distinct()
@@ -104,6 +119,8 @@ def p8_slots(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_statistics": p1_statistics,
     "p2_found": p2_found,
     "p2_occurrences": p2_occurrences,
     "p2_texts": p2_texts,
