@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import canonical, encode, pack, site_lines, skeleton, split, text_quality
+from corpusgraph.llm import canonical, encode, pack, reading, site_lines, skeleton, split, text_quality
 from corpusgraph.session import checkpoint, read_table
 
 
@@ -45,19 +45,24 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return stats.where("verdict not in ('prose', 'empty')").select("record_id", "page").distinct()
 
 
-def scanned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Good results with their record and page (doc, source, cluster, text), and each record's count of non-empty pages."""
-    at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), "record_id", "page").where("path is not null").distinct()
-    ok = read_table(spark, d, "ocr_results").where("status = 'ok' and trim(text) <> ''")
-    sizes = ok.select("path").distinct().join(at, "path").groupBy(F.col("record_id").alias("source")).agg(F.countDistinct("page").alias("clusters"))
-    docs = ok.join(at, "path").select(F.col("result_id").alias("doc"), F.col("record_id").alias("source"), F.col("page").alias("cluster"), "text")
-    return docs, sizes
+def scanned(spark: SparkSession, d: str) -> DataFrame:
+    """Good results with ink: doc, source (record), cluster (page), need, text.
+
+    The small tables are joined first, so the texts are shuffled once, by path, which no hot
+    record can skew. A path that stands for several pages gives a row for each.
+    """
+    at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), "record_id", "page").where("path is not null and record_id is not null").distinct()
+    ok = read_table(spark, d, "ocr_results").where("status = 'ok' and trim(text) <> ''").select("result_id", "path", "text")
+    full = at.join(ok.select("path").distinct(), "path", "left_semi")
+    need = full.groupBy("record_id").agg(F.countDistinct("page").alias("clusters")).select("record_id", site_lines.needed().alias("need"))
+    place = full.join(need, "record_id")
+    return ok.join(place, "path").select(F.col("result_id").alias("doc"), F.col("record_id").alias("source"), F.col("page").alias("cluster"), "need", "text")
 
 
 def p2_occurrences(spark: SparkSession, d: str) -> DataFrame:
-    """Every occurrence of a line repeated over a record's pages, with its main printing and count."""
-    found = site_lines.repeated_lines(*scanned(spark, d))
-    return found.select(F.col("doc").alias("result_id"), "line_no", F.col("source").alias("record_id"), "key", "n_clusters")
+    """Every occurrence of a line repeated over a record's pages, with its key and count."""
+    found = site_lines.repeated_lines(scanned(spark, d))
+    return found.select(F.col("doc").alias("result_id"), "line_no", "key", "n_clusters")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -67,8 +72,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_texts(spark: SparkSession, d: str) -> DataFrame:
     """Page texts without the repeated lines of their record."""
-    docs, sizes = scanned(spark, d)
-    found = site_lines.repeated_lines(docs, sizes)
+    docs = scanned(spark, d)
+    found = site_lines.repeated_lines(docs)
     out = site_lines.drop_lines(docs.select("doc", "text").distinct(), found)
     return out.withColumnRenamed("doc", "result_id")
 
@@ -118,6 +123,22 @@ def p8_slots(spark: SparkSession, d: str) -> DataFrame:
     return pack.pack(sizes, "doc_id", "n_tokens")
 
 
+def _languages(spark: SparkSession, d: str) -> dict[str, frozenset[str]]:
+    table = read_table(spark, d, "common_words")
+    names = [r[0] for r in table.select("lang").where("lang is not null").distinct().orderBy("lang").limit(100).collect()]
+    return {n: text_quality.common_words(table.where(F.col("lang") == n)) for n in names}
+
+
+def p9_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Level and band of every English prose document."""
+    return reading.rate(read_table(spark, d, "documents"), read_table(spark, d, "reading_labels"), _languages(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """The band of every English prose document."""
+    return p9_levels(spark, d).select("doc_id", "band")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_statistics": p1_statistics,
@@ -132,6 +153,8 @@ QUERIES = {
     "p5_forms": p5_forms,
     "p7_ids": p7_ids,
     "p8_slots": p8_slots,
+    "p9_found": p9_found,
+    "p9_levels": p9_levels,
 }
 
 ORACLES = {
