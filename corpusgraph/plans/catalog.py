@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from corpusgraph.plans import corpus_queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+_ALL = corpus_queries.PAIRS
+QUERIES = {name: fn for name, (fn, _) in _ALL.items()}
+ORACLES = {name: sql for name, (_, sql) in _ALL.items() if sql}
