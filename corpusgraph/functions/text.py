@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -80,16 +81,22 @@ def safe_name(c: Column) -> Column:
     return F.regexp_replace(c, r"[^\p{L}\p{N}_.-]", "_")
 
 
-@F.pandas_udf("string")
-def _nfkc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in parts:
-        yield s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+@lru_cache(maxsize=1)
+def _nfkc():
+    """The Arrow function; made on first use, as it needs a session."""
+
+    @F.pandas_udf("string")
+    def compatible(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            yield s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    return compatible
 
 
 def nfkc(c: Column) -> Column:
     """Compatibility form. Only the values that hold a character beyond ASCII have work done for them."""
     plain = F.regexp_count(c, F.lit(r"[^\x00-\x7f]")) == 0
-    return F.when(plain, c).otherwise(_nfkc(F.when(plain, F.lit("")).otherwise(c)))
+    return F.when(plain, c).otherwise(_nfkc()(F.when(plain, F.lit("")).otherwise(c)))
 
 
 def tidy(c: Column) -> Column:
