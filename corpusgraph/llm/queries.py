@@ -56,7 +56,7 @@ def scanned(spark: SparkSession, d: str) -> DataFrame:
     full = at.join(ok.select("path").distinct(), "path", "left_semi")
     need = full.groupBy("record_id").agg(F.countDistinct("page").alias("clusters")).select("record_id", site_lines.needed().alias("need"))
     place = full.join(need, "record_id")
-    return ok.join(place, "path").select(F.col("result_id").alias("doc"), F.col("record_id").alias("source"), F.col("page").alias("cluster"), "need", "text")
+    return ok.join(place.hint("shuffle_hash"), "path").select(F.col("result_id").alias("doc"), F.col("record_id").alias("source"), F.col("page").alias("cluster"), "need", "text")
 
 
 def p2_occurrences(spark: SparkSession, d: str) -> DataFrame:
