@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import canonical, encode, pack, reading, site_lines, skeleton, split, text_quality
+from corpusgraph.llm import canonical, encode, pack, reading, scan_repair, site_lines, skeleton, split, text_quality
 from corpusgraph.session import checkpoint, read_table
 
 
@@ -25,6 +25,20 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).where("piece_no = 2").select("src", "item_id")
 
 
+def p6_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Furniture, cut words and misread words of all good results, with what replaces a misread word."""
+    ok = read_table(spark, d, "ocr_results").where("status = 'ok'").select("result_id", "path", "text")
+    at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), F.col("record_id").alias("source"), F.col("page").alias("cluster")).where("path is not null").distinct()
+    place_of = ok.select("result_id", "path").join(at, "path").select("result_id", "source", "cluster")
+    common = text_quality.common_words(read_table(spark, d, "common_words"))
+    return scan_repair.cases(ok, read_table(spark, d, "documents").select("text"), place_of, common)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with furniture, a broken word or a misread word."""
+    return p6_cases(spark, d).select("result_id", "line_no", "kind").distinct()
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return encode.encode_corpus(read_table(spark, d, "documents"))
@@ -151,6 +165,8 @@ QUERIES = {
     "p4_unmatched": p4_unmatched,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
+    "p6_cases": p6_cases,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_slots": p8_slots,
     "p9_found": p9_found,
