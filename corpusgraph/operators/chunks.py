@@ -42,4 +42,4 @@ def chunks(c: Column, size: int = MAX_CHARS, overlap: int = OVERLAP) -> Column:
 def chunked(df: DataFrame, text: str, size: int = MAX_CHARS, overlap: int = OVERLAP) -> DataFrame:
     """A row for each chunk: the input's columns but `text`, chunk_no from 1, and chunk."""
     rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.posexplode(chunks(F.col(text), size, overlap)).alias("i", "chunk")).select(*rest, (F.col("i") + 1).cast("bigint").alias("chunk_no"), "chunk")
+    return df.select(*rest, F.posexplode(chunks(F.col(text), size, overlap)).alias("__at", "__chunk")).select(*rest, (F.col("__at") + 1).cast("bigint").alias("chunk_no"), F.col("__chunk").alias("chunk"))
