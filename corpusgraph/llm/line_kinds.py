@@ -25,10 +25,17 @@ _VOWEL = re.compile(r"[aeiouyáéíóúàèìòùâêôäöüãõåæø]", re.I)
 _HARD = re.compile(r"[bcdfghjklmnpqrstvwxz]{6,}|(.)\1{3,}", re.I)
 
 
+#: Width of a field in the packed figures of a token; sums of a whole line must fit.
+_BITS = 26
+_MASK = (1 << _BITS) - 1
+_SHIFTS = tuple(_BITS * i for i in range(7))
+
+
 class Tokens(dict):
     """Figures of a token: characters, words, letters, digits of codes, common words, mixed, odd words.
 
-    Bounded: forgets everything when full.
+    They are packed into one integer, so that a line's figures are one sum. Bounded: forgets
+    everything when full.
     """
 
     LIMIT = 300_000
@@ -37,11 +44,12 @@ class Tokens(dict):
         super().__init__()
         self.common = common
 
-    def __missing__(self, t: str) -> tuple[int, ...]:
+    def __missing__(self, t: str) -> int:
         words = _WORD.findall(t)
         digits = sum(c.isdigit() for c in t) if _CODE.search(t) else 0
         odd = sum(1 for w in words if len(w) > 2 and (not _VOWEL.search(w) or _HARD.search(w)))
-        v = (len(t), len(words), sum(map(len, words)), digits, sum(w.lower() in self.common for w in words), not _is_token(t), odd)
+        figures = (len(t), len(words), sum(map(len, words)), digits, sum(w.lower() in self.common for w in words), not _is_token(t), odd)
+        v = sum(int(x) << s for x, s in zip(figures, _SHIFTS))
         if len(self) >= self.LIMIT:
             self.clear()
         if len(t) <= 40:
@@ -58,12 +66,9 @@ class Line:
         s = self.text = text.strip()
         tokens = s.split()
         self.tokens = len(tokens)
-        if tokens:
-            self.chars, self.words, self.letters, self.digits, self.common, self.mixed, self.odd = map(sum, zip(*map(memo.__getitem__, tokens)))
-            self.form = self._form()
-        else:
-            self.chars = self.words = self.letters = self.digits = self.common = self.mixed = self.odd = 0
-            self.form = BLANK
+        v = sum(map(memo.__getitem__, tokens))
+        self.chars, self.words, self.letters, self.digits, self.common, self.mixed, self.odd = [v >> x & _MASK for x in _SHIFTS]
+        self.form = self._form() if tokens else BLANK
 
     def _form(self) -> str:
         s, n = self.text, self.words
