@@ -7,8 +7,32 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusgraph.session import checkpoint
+
 SEARCH_FIELDS = ("id", "label", "type", "kind", "agency", "incident_date", "incident_location", "description")
-GOLDEN_ANGLE = math.pi * (3 - math.sqrt(5))
+
+# The viewer's sizes, layout and forces.
+GOLDEN_ANGLE = 2.399963229728653
+SPIRAL_ANGLE = 2.399963
+TYPE_RADIUS = {"release": 16, "agency": 12, "record": 7, "event": 9, "date": 7, "location": 8, "pairing": 7}
+OTHER_RADIUS = 7
+#: type: (share of the golden angle, sweep of the arc, first angle, radius, rings, distance of rings)
+ANCHORS = {
+    "release": (0.0, 0.0, 0.0, 0, 1, 0),
+    "agency": (0.0, 2 * math.pi, -math.pi / 2, 150, 2, 45),
+    "record": (1.0, 0.0, -math.pi / 2, 390, 7, 42),
+    "event": (1.0, 0.0, math.pi / 8, 650, 6, 42),
+    "date": (0.0, 1.36, -2.82, 720, 5, 44),
+    "location": (0.0, 1.38, 1.42, 720, 5, 44),
+    "pairing": (0.0, 1.26, -0.66, 690, 4, 40),
+}
+OTHER_ANCHOR = (1.0, 0.0, 0.0, 520, 1, 0)
+REACH2, LIFT, PUSH, MOST_PUSH = 150000.0, 36.0, 2100.0, 0.72
+GAP, COLLISION = 16.0, 0.052
+LENGTHS, OTHER_LENGTH = {"contains_record": 280.0, "supported_by": 170.0}, 132.0
+PULLS, OTHER_PULL = {"contains_record": 0.0012}, 0.0038
+HOMES, OTHER_HOME = {"record": 0.009, "event": 0.009}, 0.007
+DAMPING, MOST_SPEED, COOLING, REST = 0.78, 18.0, 0.987, 0.015
 
 
 def matches(term: str, fields: tuple[str, ...] = SEARCH_FIELDS) -> Column:
@@ -54,45 +78,123 @@ def layout_ranks(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("layout_index", (F.row_number().over(w) - 1).cast("bigint")).join(F.broadcast(sizes), "type")
 
 
-def anchors(index: Column, count: Column, centre_x: float, centre_y: float, spread: float) -> tuple[Column, Column]:
-    """Place of a node on a golden-angle spiral around its type's centre."""
-    angle = index * F.lit(GOLDEN_ANGLE)
-    radius = F.lit(spread) * F.sqrt((index + F.lit(0.5)) / F.greatest(count, F.lit(1)))
-    return F.lit(centre_x) + radius * F.cos(angle), F.lit(centre_y) + radius * F.sin(angle)
+def _by(column: Column, table: dict, other: object) -> Column:
+    """CASE over a small table."""
+    out = F.lit(other)
+    for k, v in table.items():
+        out = F.when(column == k, F.lit(v)).otherwise(out)
+    return out
+
+
+def anchors(type_: Column, index: Column, count: Column) -> tuple[Column, Column]:
+    """Where a node is at home: on an arc or on golden-angle rings, by type and rank within the type."""
+    part = lambda i: _by(type_, {k: v[i] for k, v in ANCHORS.items()}, OTHER_ANCHOR[i])
+    turn = (index + F.lit(0.5)) / F.greatest(count, F.lit(1))
+    angle = index * F.lit(GOLDEN_ANGLE) * part(0) + turn * part(1) + part(2)
+    radius = part(3) + (index % part(4)) * part(5)
+    return F.cos(angle) * radius, F.sin(angle) * radius
+
 
+def spiral(index: Column) -> tuple[Column, Column]:
+    """First places of nodes numbered from 0, before they have a home."""
+    angle = index * F.lit(SPIRAL_ANGLE)
+    return F.cos(angle) * (90 + (index % 31) * 8), F.sin(angle) * (90 + (index % 29) * 8)
 
-def node_radius(base: Column, degree: Column) -> Column:
-    return base + F.least(F.lit(8.0), F.sqrt(degree) * F.lit(0.75))
+
+def node_radius(type_: Column, degree: Column) -> Column:
+    return _by(type_, TYPE_RADIUS, OTHER_RADIUS) + F.least(F.lit(8.0), F.sqrt(degree) * F.lit(0.75))
 
 
 def screen_radius(radius: Column, zoom: Column) -> Column:
     return F.greatest(F.lit(2.8), radius * F.pow(zoom, F.lit(0.82)))
 
 
-def viewport(points: DataFrame, width: float, height: float, pad: float = 80.0) -> DataFrame:
-    """Bounding box of points (x, y) and the clamped zoom that shows it."""
+def to_screen(x: Column, y: Column, width: float, height: float, zoom: float, dx: float, dy: float) -> tuple[Column, Column]:
+    return F.lit(width / 2) + (x + F.lit(dx)) * F.lit(zoom), F.lit(height / 2) + (y + F.lit(dy)) * F.lit(zoom)
+
+
+def to_world(x: Column, y: Column, width: float, height: float, zoom: float, dx: float, dy: float) -> tuple[Column, Column]:
+    return (x - F.lit(width / 2)) / F.lit(zoom) - F.lit(dx), (y - F.lit(height / 2)) / F.lit(zoom) - F.lit(dy)
+
+
+def viewport(points: DataFrame, width: float, height: float) -> DataFrame:
+    """Bounding box of points (x, y), the clamped zoom that shows it, and the shift to its middle."""
     box = points.agg(F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.min("y").alias("min_y"), F.max("y").alias("max_y"), F.count(F.lit(1)).alias("n"))
-    fit = F.least(F.lit(width) / (F.col("max_x") - F.col("min_x") + F.lit(pad)), F.lit(height) / (F.col("max_y") - F.col("min_y") + F.lit(pad)))
-    return box.withColumn("zoom", F.greatest(F.lit(0.18), F.least(F.lit(2.2), fit)))
+    span = lambda a, b: F.greatest(F.lit(1.0), F.col(a) - F.col(b))
+    fit = F.least(F.lit(width - 90) / span("max_x", "min_x"), F.lit(height - 90) / span("max_y", "min_y"))
+    box = box.withColumn("zoom", F.greatest(F.lit(0.18), F.least(F.lit(2.2), fit)))
+    return box.withColumn("dx", -(F.col("min_x") + F.col("max_x")) / 2).withColumn("dy", -(F.col("min_y") + F.col("max_y")) / 2)
+
 
+def _cells(points: DataFrame, side: float, suffix: str, around: bool) -> DataFrame:
+    """Points with their square cell; with `around`, once for each of the nine cells about it."""
+    out = points.select(*(F.col(c).alias(c + suffix) for c in points.columns), F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"))
+    if not around:
+        return out
+    steps = F.array(*(F.struct(F.lit(i).alias("sx"), F.lit(j).alias("sy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    return out.select("*", F.inline(steps)).withColumn("cx", F.col("cx") + F.col("sx")).withColumn("cy", F.col("cy") + F.col("sy")).drop("sx", "sy")
 
-def close_pairs(points: DataFrame, limit2: float, lift: float = 36.0) -> DataFrame:
+
+def force_step(state: DataFrame, edges: DataFrame, alpha: float) -> DataFrame:
+    """One step of the layout: state (id, type, degree, home_x, home_y, x, y, vx, vy) to the next.
+
+    Repulsion reaches a fixed distance, so pairs meet through grid cells; edges pull by two
+    equi-joins; all forces are summed by node. A node without any neighbour only moves home.
+    """
+    p = state.select("id", "x", "y", node_radius(F.col("type"), F.col("degree")).alias("r"))
+    pairs = _cells(p, math.sqrt(REACH2), "_a", False).join(_cells(p, math.sqrt(REACH2), "_b", True), ["cx", "cy"]).where("id_a <> id_b")
+    pairs = pairs.withColumn("dx", F.col("x_a") - F.col("x_b")).withColumn("dy", F.col("y_a") - F.col("y_b"))
+    pairs = pairs.withColumn("d2", F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + F.lit(LIFT)).where(F.col("d2") <= REACH2).withColumn("d", F.sqrt("d2"))
+    near = F.col("r_a") + F.col("r_b") + F.lit(GAP)
+    force = F.least(F.lit(MOST_PUSH), F.lit(PUSH * alpha) / F.col("d2")) + F.when(F.col("d") < near, (near - F.col("d")) * F.lit(COLLISION * alpha)).otherwise(F.lit(0.0))
+    push = pairs.select(F.col("id_a").alias("id"), (F.col("dx") / F.col("d") * force).alias("fx"), (F.col("dy") / F.col("d") * force).alias("fy"))
+
+    at = lambda s: state.select(F.col("id").alias(s), F.col("x").alias(f"x_{s}"), F.col("y").alias(f"y_{s}"))
+    e = edges.select("source", "target", "relation").join(at("source"), "source").join(at("target"), "target")
+    e = e.withColumn("dx", F.col("x_target") - F.col("x_source")).withColumn("dy", F.col("y_target") - F.col("y_source"))
+    e = e.withColumn("d", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))).withColumn("d", F.when(F.col("d") == 0, 1.0).otherwise(F.col("d")))
+    pull = (F.col("d") - _by(F.col("relation"), LENGTHS, OTHER_LENGTH)) * _by(F.col("relation"), PULLS, OTHER_PULL) * F.lit(alpha)
+    fx, fy = F.col("dx") / F.col("d") * pull, F.col("dy") / F.col("d") * pull
+    ends = F.array(F.struct(F.col("source").alias("id"), fx.alias("fx"), fy.alias("fy")), F.struct(F.col("target").alias("id"), (-fx).alias("fx"), (-fy).alias("fy")))
+    forces = push.unionByName(e.select(F.inline(ends))).groupBy("id").agg(F.sum("fx").alias("fx"), F.sum("fy").alias("fy"))
+
+    home = _by(F.col("type"), HOMES, OTHER_HOME) * F.lit(alpha)
+    out = state.join(forces, "id", "left")
+    for v, f, h, c in (("vx", "fx", "home_x", "x"), ("vy", "fy", "home_y", "y")):
+        out = out.withColumn(v, (F.col(v) + F.coalesce(f, F.lit(0.0)) + (F.col(h) - F.col(c)) * home) * F.lit(DAMPING))
+    speed = F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy"))
+    out = out.withColumn("slow", F.when(speed > MOST_SPEED, F.lit(MOST_SPEED) / speed).otherwise(F.lit(1.0)))
+    out = out.withColumn("vx", F.col("vx") * F.col("slow")).withColumn("vy", F.col("vy") * F.col("slow"))
+    return out.withColumn("x", F.col("x") + F.col("vx")).withColumn("y", F.col("y") + F.col("vy")).select(*state.columns)
+
+
+def simulate(state: DataFrame, edges: DataFrame, alpha: float = 1.0, most_steps: int = 1000, every: int = 5) -> DataFrame:
+    """Steps until the layout has cooled down; the lineage is cut every few steps."""
+    for i in range(most_steps):
+        if alpha < REST:
+            break
+        state = force_step(state, edges, alpha)
+        if i % every == every - 1:
+            state = checkpoint(state)
+        alpha *= COOLING
+    return state
+
+
+def close_pairs(points: DataFrame, limit2: float = REACH2, lift: float = LIFT) -> DataFrame:
     """Pairs of points (id, x, y) with id_a < id_b and dx² + dy² + lift <= limit2.
 
     Points are put into square cells as wide as the distance, and each meets only the nine cells
     around its own, so the join is an equi-join on cells.
     """
     side = math.sqrt(max(limit2 - lift, 1e-9))
-    a = points.select(F.col("id").alias("id_a"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"))
-    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    b = points.select(F.col("id").alias("id_b"), F.col("x").alias("xb"), F.col("y").alias("yb"), F.inline(steps))
-    b = b.select("id_b", "xb", "yb", (F.floor(F.col("xb") / side) + F.col("i")).alias("cx"), (F.floor(F.col("yb") / side) + F.col("j")).alias("cy"))
-    dist2 = F.pow(F.col("xa") - F.col("xb"), 2) + F.pow(F.col("ya") - F.col("yb"), 2) + F.lit(lift)
-    return a.join(b, ["cx", "cy"]).where("id_a < id_b").withColumn("dist2", dist2).where(F.col("dist2") <= limit2).select("id_a", "id_b", "dist2")
+    p = points.select("id", "x", "y")
+    dist2 = F.pow(F.col("x_a") - F.col("x_b"), 2) + F.pow(F.col("y_a") - F.col("y_b"), 2) + F.lit(lift)
+    out = _cells(p, side, "_a", False).join(_cells(p, side, "_b", True), ["cx", "cy"]).where("id_a < id_b")
+    return out.withColumn("dist2", dist2).where(F.col("dist2") <= limit2).select("id_a", "id_b", "dist2")
 
 
 def nearest(points: DataFrame, x: float, y: float, reach: float = 6.0) -> DataFrame:
-    """The point (id, x, y, radius) nearest to a place, if within its radius and `reach`."""
+    """The point (id, x, y, radius) nearest to a place, if nearer than its radius and `reach`; ties by id."""
     d = F.sqrt(F.pow(F.col("x") - F.lit(x), 2) + F.pow(F.col("y") - F.lit(y), 2))
-    near = points.withColumn("dist", d).where(F.col("dist") <= F.col("radius") + F.lit(reach))
+    near = points.withColumn("dist", d).where(F.col("dist") < F.col("radius") + F.lit(reach))
     return near.agg(F.min(F.struct("dist", "id")).alias("m")).where("m is not null").select(F.col("m.id").alias("id"), F.col("m.dist").alias("dist"))

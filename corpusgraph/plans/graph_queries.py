@@ -308,43 +308,90 @@ FROM nodes n JOIN degrees d ON d.id = n.id)"""
 
 
 def _placed(spark: SparkSession, d: str) -> DataFrame:
-    x, y = V.anchors(F.col("layout_index"), F.col("layout_count"), 0.0, 0.0, 900.0)
+    x, y = V.anchors(F.col("type"), F.col("layout_index"), F.col("layout_count"))
     return _ranked(spark, d).withColumn("x", x).withColumn("y", y)
 
 
 def q_anchor_layout(spark: SparkSession, d: str) -> DataFrame:
-    """Places and radii of all nodes."""
-    r = V.node_radius(F.lit(4.0), F.col("degree"))
+    """Homes and radii of all nodes."""
+    r = V.node_radius(F.col("type"), F.col("degree"))
     return _placed(spark, d).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), F.round(r, 6).alias("radius"), F.round(V.screen_radius(r, F.lit(0.5)), 6).alias("screen_radius"))
 
 
-_SQL_PLACED = f"""{_SQL_RANKED}, placed AS (SELECT *, 900.0::DOUBLE * sqrt((layout_index + 0.5::DOUBLE) / greatest(layout_count, 1)) * cos(layout_index * {V.GOLDEN_ANGLE!r}::DOUBLE) AS x,
-900.0::DOUBLE * sqrt((layout_index + 0.5::DOUBLE) / greatest(layout_count, 1)) * sin(layout_index * {V.GOLDEN_ANGLE!r}::DOUBLE) AS y FROM ranked)"""
+def _sql_by(table: dict, other: object) -> str:
+    return "CASE type " + " ".join(f"WHEN '{k}' THEN {v!r}::DOUBLE" for k, v in table.items()) + f" ELSE {other!r}::DOUBLE END"
+
+
+_A = [_sql_by({k: v[i] for k, v in V.ANCHORS.items()}, V.OTHER_ANCHOR[i]) for i in range(6)]
+_SQL_ANGLE = f"(layout_index * {V.GOLDEN_ANGLE!r}::DOUBLE * {_A[0]} + (layout_index + 0.5::DOUBLE) / greatest(layout_count, 1) * {_A[1]} + {_A[2]})"
+_SQL_RING = f"({_A[3]} + (layout_index % ({_A[4]})::BIGINT) * {_A[5]})"
+_SQL_RADIUS = f"({_sql_by(V.TYPE_RADIUS, V.OTHER_RADIUS)} + least(8.0::DOUBLE, sqrt(degree) * 0.75::DOUBLE))"
+_SQL_PLACED = f"{_SQL_RANKED}, placed AS (SELECT *, cos({_SQL_ANGLE}) * {_SQL_RING} AS x, sin({_SQL_ANGLE}) * {_SQL_RING} AS y, {_SQL_RADIUS} AS radius FROM ranked)"
+
+
+def q_spiral(spark: SparkSession, d: str) -> DataFrame:
+    """First places of the nodes, and there and back between world and screen."""
+    n = R.with_ordinal(_graph(spark, d)[0].select("id"), ["id"])
+    x, y = V.spiral(F.col("ordinal") - 1)
+    p = n.select("id", x.alias("x"), y.alias("y"))
+    sx, sy = V.to_screen(F.col("x"), F.col("y"), 1200.0, 800.0, 0.5, 10.0, -20.0)
+    p = p.withColumn("sx", sx).withColumn("sy", sy)
+    wx, wy = V.to_world(F.col("sx"), F.col("sy"), 1200.0, 800.0, 0.5, 10.0, -20.0)
+    return p.select("id", *(F.round(c, 4).alias(c) for c in ("x", "y", "sx", "sy")), F.round(wx, 4).alias("wx"), F.round(wy, 4).alias("wy"))
+
+
+SQL_SPIRAL = f"""WITH {SQL_GRAPH}, i AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i FROM nodes),
+p AS (SELECT id, cos(i * {V.SPIRAL_ANGLE!r}::DOUBLE) * (90 + (i % 31) * 8) AS x, sin(i * {V.SPIRAL_ANGLE!r}::DOUBLE) * (90 + (i % 29) * 8) AS y FROM i)
+SELECT id, round(x, 4) AS x, round(y, 4) AS y, round(600 + (x + 10) * 0.5::DOUBLE, 4) AS sx, round(400 + (y - 20) * 0.5::DOUBLE, 4) AS sy, round(x, 4) AS wx, round(y, 4) AS wy FROM p"""
 
 
 def q_viewport(spark: SparkSession, d: str) -> DataFrame:
-    """Bounding box and zoom of all event nodes."""
+    """Bounding box, zoom and shift for all event nodes."""
     v = V.viewport(_placed(spark, d).where("type = 'event'"), 1200.0, 800.0)
-    return v.select("n", *(F.round(c, 3).alias(c) for c in ("min_x", "max_x", "min_y", "max_y")), F.round("zoom", 6).alias("zoom"))
+    return v.select("n", *(F.round(c, 3).alias(c) for c in ("min_x", "max_x", "min_y", "max_y", "dx", "dy")), F.round("zoom", 6).alias("zoom"))
+
+
+SQL_VIEWPORT = f"""WITH {_SQL_PLACED}, b AS (SELECT count(*) AS n, min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM placed WHERE type = 'event')
+SELECT n, round(a, 3) AS min_x, round(b, 3) AS max_x, round(c, 3) AS min_y, round(d, 3) AS max_y, round(-(a + b) / 2, 3) AS dx, round(-(c + d) / 2, 3) AS dy,
+round(greatest(0.18::DOUBLE, least(2.2::DOUBLE, 1110.0::DOUBLE / greatest(1, b - a), 710.0::DOUBLE / greatest(1, d - c))), 6) AS zoom FROM b"""
 
 
 def q_close_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """How many agency nodes lie near each agency node of the layout."""
-    pairs = V.close_pairs(_placed(spark, d).where("type = 'agency'").select("id", "x", "y"), 20000.0)
+    """How many agency nodes are in reach of each agency node of the layout."""
+    pairs = V.close_pairs(_placed(spark, d).where("type = 'agency'"))
     return pairs.groupBy("id_a").agg(F.count(F.lit(1)).alias("n"))
 
 
-SQL_CLOSE = f"WITH {_SQL_PLACED} SELECT a.id AS id_a, count(*) AS n FROM placed a JOIN placed b ON a.type = 'agency' AND b.type = 'agency' AND a.id < b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 20000 GROUP BY a.id"
+SQL_CLOSE = f"WITH {_SQL_PLACED} SELECT a.id AS id_a, count(*) AS n FROM placed a JOIN placed b ON a.type = 'agency' AND b.type = 'agency' AND a.id < b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 150000 GROUP BY a.id"
 
 
 def q_nearest(spark: SparkSession, d: str) -> DataFrame:
     """The node under a place of the layout."""
-    p = _placed(spark, d).withColumn("radius", V.node_radius(F.lit(4.0), F.col("degree")))
-    return V.nearest(p, 12.0, 30.0, reach=40.0).select("id", F.round("dist", 4).alias("dist"))
+    p = _placed(spark, d).withColumn("radius", V.node_radius(F.col("type"), F.col("degree")))
+    return V.nearest(p, 150.0, 30.0, reach=40.0).select("id", F.round("dist", 4).alias("dist"))
+
+
+SQL_NEAREST = f"""WITH {_SQL_PLACED}, n AS (SELECT id, sqrt(pow(x - 150, 2) + pow(y - 30, 2)) AS dist, radius FROM placed)
+SELECT id, round(dist, 4) AS dist FROM n WHERE dist < radius + 40 ORDER BY n.dist, id LIMIT 1"""
+
+
+def q_force_step(spark: SparkSession, d: str) -> DataFrame:
+    """The first step of the layout for the visible nodes: those of degree 3 or more."""
+    e = _graph(spark, d)[1]
+    p = _placed(spark, d).where("degree >= 3")
+    state = p.select("id", "type", "degree", F.col("x").alias("home_x"), F.col("y").alias("home_y"), "x", "y", F.lit(0.0).alias("vx"), F.lit(0.0).alias("vy"))
+    return V.force_step(state, V.visible_edges(e, p), 1.0).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
-SQL_NEAREST = f"""WITH {_SQL_PLACED}, n AS (SELECT id, sqrt(pow(x - 12, 2) + pow(y - 30, 2)) AS dist, 4 + least(8, sqrt(degree) * 0.75::DOUBLE) AS radius FROM placed)
-SELECT id, round(dist, 4) AS dist FROM n WHERE dist <= radius + 40 ORDER BY n.dist, id LIMIT 1"""
+SQL_FORCE = f"""WITH {_SQL_PLACED}, v AS (SELECT * FROM placed WHERE degree >= 3),
+pairs AS (SELECT a.id, a.x - b.x AS dx, a.y - b.y AS dy, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 AS d2, a.radius + b.radius + 16 AS near FROM v a JOIN v b ON a.id <> b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 150000),
+push AS (SELECT id, dx / sqrt(d2) * f AS fx, dy / sqrt(d2) * f AS fy FROM (SELECT *, least(0.72::DOUBLE, 2100 / d2) + CASE WHEN sqrt(d2) < near THEN (near - sqrt(d2)) * 0.052::DOUBLE ELSE 0 END AS f FROM pairs)),
+e1 AS (SELECT e.source, e.target, b.x - a.x AS dx, b.y - a.y AS dy, CASE WHEN pow(b.x - a.x, 2) + pow(b.y - a.y, 2) = 0 THEN 1 ELSE sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) END AS d,
+  CASE relation WHEN 'contains_record' THEN 280 WHEN 'supported_by' THEN 170 ELSE 132 END AS want, CASE relation WHEN 'contains_record' THEN 0.0012::DOUBLE ELSE 0.0038::DOUBLE END AS k FROM edges e JOIN v a ON a.id = e.source JOIN v b ON b.id = e.target),
+f AS (SELECT id, sum(fx) AS fx, sum(fy) AS fy FROM (SELECT * FROM push UNION ALL SELECT source, dx / d * (d - want) * k, dy / d * (d - want) * k FROM e1 UNION ALL SELECT target, -dx / d * (d - want) * k, -dy / d * (d - want) * k FROM e1) GROUP BY id),
+s AS (SELECT v.id, x, y, coalesce(fx, 0) * 0.78::DOUBLE AS vx, coalesce(fy, 0) * 0.78::DOUBLE AS vy FROM v LEFT JOIN f ON f.id = v.id),
+t AS (SELECT *, CASE WHEN sqrt(vx * vx + vy * vy) > 18 THEN 18 / sqrt(vx * vx + vy * vy) ELSE 1 END AS slow FROM s)
+SELECT id, round(x + vx * slow, 3) AS x, round(y + vy * slow, 3) AS y FROM t"""
 
 
 def q_validate(spark: SparkSession, d: str) -> DataFrame:
@@ -402,8 +449,10 @@ PAIRS: dict[str, tuple] = {
     "q_highlight": (q_highlight, f"WITH {SQL_GRAPH}, l AS (SELECT id FROM nodes WHERE type = 'location') SELECT target AS id FROM edges WHERE source IN (SELECT id FROM l) UNION SELECT source FROM edges WHERE target IN (SELECT id FROM l)"),
     "q_dangling_edges": (q_dangling_edges, f"WITH {SQL_GRAPH}, x AS (SELECT id FROM nodes WHERE type <> 'date') SELECT relation, count(*) AS n FROM edges WHERE source IN (SELECT id FROM x) AND target IN (SELECT id FROM x) GROUP BY relation"),
     "q_layout_rank": (q_layout_rank, f"WITH {_SQL_RANKED} SELECT id, type, layout_index, layout_count FROM ranked"),
-    "q_anchor_layout": (q_anchor_layout, f"WITH {_SQL_PLACED} SELECT id, round(x, 3) AS x, round(y, 3) AS y, round(4 + least(8.0::DOUBLE, sqrt(degree) * 0.75::DOUBLE), 6) AS radius, round(greatest(2.8::DOUBLE, (4 + least(8.0::DOUBLE, sqrt(degree) * 0.75::DOUBLE)) * pow(0.5::DOUBLE, 0.82::DOUBLE)), 6) AS screen_radius FROM placed"),
-    "q_viewport": (q_viewport, f"WITH {_SQL_PLACED}, b AS (SELECT count(*) AS n, min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM placed WHERE type = 'event') SELECT n, round(a, 3) AS min_x, round(b, 3) AS max_x, round(c, 3) AS min_y, round(d, 3) AS max_y, round(greatest(0.18::DOUBLE, least(2.2::DOUBLE, 1200.0::DOUBLE / (b - a + 80), 800.0::DOUBLE / (d - c + 80))), 6) AS zoom FROM b"),
+    "q_anchor_layout": (q_anchor_layout, f"WITH {_SQL_PLACED} SELECT id, round(x, 3) AS x, round(y, 3) AS y, round(radius, 6) AS radius, round(greatest(2.8::DOUBLE, radius * pow(0.5::DOUBLE, 0.82::DOUBLE)), 6) AS screen_radius FROM placed"),
+    "q_spiral": (q_spiral, SQL_SPIRAL),
+    "q_viewport": (q_viewport, SQL_VIEWPORT),
+    "q_force_step": (q_force_step, SQL_FORCE),
     "q_close_pairs": (q_close_pairs, SQL_CLOSE),
     "q_nearest": (q_nearest, SQL_NEAREST),
     "q_validate": (q_validate, SQL_VALIDATE),

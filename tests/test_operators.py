@@ -194,3 +194,27 @@ def test_jsonl(spark, tmp_path):
     io.write_jsonl(spark.createDataFrame([(1, None)], "b bigint, a string"), str(tmp_path / "o"))
     assert "".join(p.read_text() for p in (tmp_path / "o").glob("*.json")) == '{"b":1}\n'
     assert "</script>" not in io.embedded_json({"a": "</script>"})
+
+
+def test_layout_cools_down(spark):
+    from corpusgraph.operators import graphview as V
+
+    rows = [(f"n{i}", "agency", 2, 10.0 * i, 0.0, 10.0 * i, 0.0, 0.0, 0.0) for i in range(4)]
+    state = spark.createDataFrame(rows, "id string, type string, degree bigint, home_x double, home_y double, x double, y double, vx double, vy double")
+    e = spark.createDataFrame([("n0", "n1", "from_agency")], "source string, target string, relation string")
+    a = {r["id"]: (r["x"], r["y"]) for r in V.force_step(state, e, 1.0).collect()}
+    assert a["n0"][0] < 0 < 30 < a["n3"][0]
+    b = V.simulate(state, e, alpha=0.016, most_steps=50).collect()
+    assert len(b) == 4
+    assert all(abs(r["vx"]) <= 18 for r in b)
+
+
+def test_close_pairs_against_brute_force(spark):
+    import random
+
+    from corpusgraph.operators import graphview as V
+
+    rng = random.Random(1)
+    pts = [(f"p{i:02d}", rng.uniform(-900, 900), rng.uniform(-900, 900)) for i in range(60)]
+    got = {(r["id_a"], r["id_b"]) for r in V.close_pairs(spark.createDataFrame(pts, "id string, x double, y double")).collect()}
+    assert got == {(a, b) for a, ax, ay in pts for b, bx, by in pts if a < b and (ax - bx) ** 2 + (ay - by) ** 2 + 36 <= 150000}
