@@ -11,7 +11,8 @@ from corpusgraph.operators import graph as G
 from corpusgraph.operators import graphview as V
 from corpusgraph.operators import manifest as R
 from corpusgraph.operators import validate as K
-from corpusgraph.plans.corpus_queries import WS
+from corpusgraph.operators.merge import document_totals
+from corpusgraph.plans.corpus_queries import WS, sql_strip
 from corpusgraph.session import read_table
 
 COLUMNS = (
@@ -163,6 +164,66 @@ def q_agencies(spark: SparkSession, d: str) -> DataFrame:
     return records(spark, d).where(R.is_given(F.col("agency"))).groupBy("agency").agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- records with their texts -----------------------------------------------------------------
+
+
+def record_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Records with what was extracted and merged for them; missing layers fall back to the one before."""
+    doc = read_table(spark, d, "documents").where("record_id is not null")
+    doc = doc.groupBy(F.col("record_id").alias("id")).agg(F.max_by(F.struct("pages", "n_chars", "final_text_path"), "doc_id").alias("x"))
+    pages = read_table(spark, d, "final_pages").where("record_id is not null").dropDuplicates(["record_id", "page"])
+    final = document_totals(pages).withColumnRenamed("record_id", "id")
+    df = records(spark, d).join(doc, "id", "left").join(final, "id", "left")
+    zero = F.lit(0).cast("bigint")
+    return df.select(
+        "id", "title", "kind", "agency", "release_date", "incident_date", "incident_location", "source_url", "description",
+        F.when(F.col("x").isNull(), "not_extracted").otherwise("ok").alias("extraction_status"),
+        F.coalesce("x.pages", zero).alias("page_count"),
+        F.coalesce("x.n_chars", zero).alias("text_chars"),
+        F.coalesce("ocr_text_chars", zero).alias("ocr_text_chars"),
+        F.coalesce("final_text_chars", "x.n_chars", zero).alias("final_text_chars"),
+        F.when(F.col("final_text_chars").isNotNull(), F.concat(F.lit("data/extracted/final_text/documents/"), F.col("id"), F.lit(".txt"))).otherwise(F.coalesce("x.final_text_path", F.lit(""))).alias("final_text_path"),
+    )
+
+
+def q_record_layers(spark: SparkSession, d: str) -> DataFrame:
+    return record_layers(spark, d).select("id", "extraction_status", "page_count", "text_chars", "ocr_text_chars", "final_text_chars", "final_text_path")
+
+
+SQL_LAYERED = f"""{SQL_RECORDS},
+x AS (SELECT record_id, arg_max(struct_pack(p := pages, n := n_chars, f := final_text_path), doc_id) AS x FROM documents WHERE record_id IS NOT NULL GROUP BY record_id),
+fi AS (SELECT record_id, CAST(sum(ocr_text_chars) AS BIGINT) AS o, CAST(sum(final_text_chars) AS BIGINT) AS f FROM (SELECT DISTINCT record_id, page, ocr_text_chars, final_text_chars FROM final_pages WHERE record_id IS NOT NULL) GROUP BY record_id),
+layered AS (SELECT r.*, CASE WHEN x.record_id IS NULL THEN 'not_extracted' ELSE 'ok' END AS extraction_status, coalesce(x.x.p, 0) AS page_count, coalesce(x.x.n, 0) AS text_chars, coalesce(fi.o, 0) AS ocr_text_chars,
+  coalesce(fi.f, x.x.n, 0) AS final_text_chars, CASE WHEN fi.f IS NOT NULL THEN 'data/extracted/final_text/documents/' || r.id || '.txt' ELSE coalesce(x.x.f, '') END AS final_text_path
+  FROM records r LEFT JOIN x ON x.record_id = r.id LEFT JOIN fi ON fi.record_id = r.id)
+"""
+
+
+def q_layer_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals over all records by kind and state of extraction."""
+    return record_layers(spark, d).groupBy("kind", "extraction_status").agg(F.count(F.lit(1)).alias("n"), F.sum("page_count").alias("pages"), F.sum("final_text_chars").alias("final_text_chars"))
+
+
+def q_doc_headers(spark: SparkSession, d: str) -> DataFrame:
+    """The Markdown header of every record; blank fields as N/A, the title falls back to the id."""
+    text = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("N/A"))
+    head = F.concat(
+        F.lit("# "), F.coalesce(F.nullif(F.col("title"), F.lit("")), F.col("id")), F.lit("\n\n- Record ID: `"), F.col("id"), F.lit("`\n- Agency: "), text("agency"), F.lit("\n- Release date: "), text("release_date"),
+        F.lit("\n- Incident date: "), text("incident_date"), F.lit("\n- Incident location: "), text("incident_location"), F.lit("\n- Source URL: "), text("source_url"),
+    )
+    more = F.when(F.coalesce("description", F.lit("")) != "", F.concat(F.lit("\n\n## Official Description\n\n"), F.col("description"))).otherwise(F.lit(""))
+    return records(spark, d).select("id", F.md5(F.concat(T.strip(F.concat(head, more)), F.lit("\n"))).alias("header_md5"))
+
+
+def _sql_na(c: str) -> str:
+    return f"coalesce(nullif({c}, ''), 'N/A')"
+
+
+SQL_HEADERS = f"""WITH {SQL_RECORDS}, h AS (SELECT id, '# ' || coalesce(nullif(title, ''), id) || chr(10) || chr(10) || '- Record ID: `' || id || '`' || chr(10) || '- Agency: ' || {_sql_na('agency')} || chr(10) || '- Release date: ' || {_sql_na('release_date')}
+|| chr(10) || '- Incident date: ' || {_sql_na('incident_date')} || chr(10) || '- Incident location: ' || {_sql_na('incident_location')} || chr(10) || '- Source URL: ' || {_sql_na('source_url')}
+|| CASE WHEN coalesce(description, '') <> '' THEN chr(10) || chr(10) || '## Official Description' || chr(10) || chr(10) || description ELSE '' END AS t FROM records)
+SELECT id, md5({sql_strip('t')} || chr(10)) AS header_md5 FROM h"""
+
 # --- graph ------------------------------------------------------------------------------------
 
 _EVENT_KEY = """CASE WHEN upper(coalesce(nullif(incident_date, ''), 'N/A')) = 'N/A' AND upper(coalesce(nullif(incident_location, ''), 'N/A')) = 'N/A' THEN 'record:' || id
@@ -433,6 +494,9 @@ PAIRS: dict[str, tuple] = {
     "q_distinct_files": (q_distinct_files, f"WITH {SQL_RECORDS} SELECT kind, count(*) AS n, count(DISTINCT local_path) AS files FROM records WHERE local_path <> '' GROUP BY kind"),
     "q_download_candidates": (q_download_candidates, f"WITH {SQL_RECORDS} SELECT id, kind, source_url, local_path FROM records WHERE kind IN ('PDF', 'IMG') AND coalesce(source_url, '') <> '' AND coalesce(local_path, '') <> '' ORDER BY id LIMIT 100"),
     "q_agencies": (q_agencies, f"WITH {SQL_RECORDS} SELECT agency, count(*) AS n FROM records WHERE agency IS NOT NULL AND agency <> '' AND upper(agency) <> 'N/A' GROUP BY agency"),
+    "q_record_layers": (q_record_layers, f"WITH {SQL_LAYERED} SELECT id, extraction_status, page_count, text_chars, ocr_text_chars, final_text_chars, final_text_path FROM layered"),
+    "q_layer_totals": (q_layer_totals, f"WITH {SQL_LAYERED} SELECT kind, extraction_status, count(*) AS n, CAST(sum(page_count) AS BIGINT) AS pages, CAST(sum(final_text_chars) AS BIGINT) AS final_text_chars FROM layered GROUP BY kind, extraction_status"),
+    "q_doc_headers": (q_doc_headers, SQL_HEADERS),
     "q_graph_nodes": (q_graph_nodes, f"WITH {SQL_GRAPH} SELECT * REPLACE (coalesce(record_count, 0) AS record_count) FROM nodes"),
     "q_graph_edges": (q_graph_edges, f"WITH {SQL_GRAPH} SELECT source, target, relation FROM edges"),
     "q_event_index": (q_event_index, f"WITH {SQL_GRAPH} SELECT id, label, coalesce(nullif(incident_date, ''), 'N/A') AS incident_date, coalesce(nullif(incident_location, ''), 'N/A') AS incident_location, record_count FROM nodes WHERE type = 'event'"),
