@@ -28,11 +28,11 @@ _HARD = re.compile(r"[bcdfghjklmnpqrstvwxz]{6,}|(.)\1{3,}", re.I)
 #: Width of a field in the packed figures of a token; sums of a whole line must fit.
 _BITS = 26
 _MASK = (1 << _BITS) - 1
-_SHIFTS = tuple(_BITS * i for i in range(7))
+_SHIFTS = tuple(_BITS * i for i in range(8))
 
 
 class Tokens(dict):
-    """Figures of a token: characters, words, letters, digits of codes, common words, mixed, odd words.
+    """Figures of a token: itself, characters, words, letters, digits of codes, common words, mixed, odd words.
 
     They are packed into one integer, so that a line's figures are one sum. Bounded: forgets
     everything when full.
@@ -48,7 +48,7 @@ class Tokens(dict):
         words = _WORD.findall(t)
         digits = sum(c.isdigit() for c in t) if _CODE.search(t) else 0
         odd = sum(1 for w in words if len(w) > 2 and (not _VOWEL.search(w) or _HARD.search(w)))
-        figures = (len(t), len(words), sum(map(len, words)), digits, sum(w.lower() in self.common for w in words), not _is_token(t), odd)
+        figures = (1, len(t), len(words), sum(map(len, words)), digits, sum(w.lower() in self.common for w in words), not _is_token(t), odd)
         v = sum(int(x) << s for x, s in zip(figures, _SHIFTS))
         if len(self) >= self.LIMIT:
             self.clear()
@@ -60,15 +60,13 @@ class Tokens(dict):
 class Line:
     """A line's figures, the sums of its tokens', and the kind its own form shows ("" if open)."""
 
-    __slots__ = ("text", "tokens", "chars", "words", "letters", "digits", "common", "mixed", "odd", "form")
+    __slots__ = ("text", "packed", "tokens", "chars", "words", "letters", "digits", "common", "mixed", "odd", "form")
 
     def __init__(self, text: str, memo: Tokens):
         s = self.text = text.strip()
-        tokens = s.split()
-        self.tokens = len(tokens)
-        v = sum(map(memo.__getitem__, tokens))
-        self.chars, self.words, self.letters, self.digits, self.common, self.mixed, self.odd = [v >> x & _MASK for x in _SHIFTS]
-        self.form = self._form() if tokens else BLANK
+        v = self.packed = sum(map(memo.__getitem__, s.split()))
+        self.tokens, self.chars, self.words, self.letters, self.digits, self.common, self.mixed, self.odd = [v >> x & _MASK for x in _SHIFTS]
+        self.form = self._form() if v else BLANK
 
     def _form(self) -> str:
         s, n = self.text, self.words
@@ -105,9 +103,9 @@ def _is_token(t: str) -> bool:
     return bool(re.fullmatch(r"[^\W\d_]+(?:['’.-][^\W\d_]+)*(?:'s)?[-¬]?|[A-Za-z]?\d+(?:[-.,:/]\d+)*[A-Za-z%°]{0,2}|[A-Za-z\d]*[^\W_]+", core))
 
 
-def kinds(text: str, memo: Tokens) -> list[tuple[str, Line]]:
-    """(kind, figures) of every line of a text, in order."""
-    lines = [Line(s, memo) for s in prototype(text).split("\n")]
+def kinds(text: str, memo: Tokens, ready: bool = False) -> list[tuple[str, Line]]:
+    """(kind, figures) of every line of a text, in order; `ready` if it consists of prototypes already."""
+    lines = [Line(s, memo) for s in (text if ready else prototype(text)).split("\n")]
     out = [ln.form for ln in lines]
     i = 0
     while i < len(lines):
@@ -132,7 +130,8 @@ def kinds(text: str, memo: Tokens) -> list[tuple[str, Line]]:
 def _judge(lines: list[Line], out: list[str], i: int, j: int) -> None:
     """Kinds of a stretch of undecided lines: prose if it runs on and holds common words."""
     part = lines[i:j]
-    words, common, mixed, tokens, odd = (sum(getattr(x, f) for x in part) for f in ("words", "common", "mixed", "tokens", "odd"))
+    total = sum([x.packed for x in part])
+    tokens, _, words, _, _, common, mixed, odd = [total >> x & _MASK for x in _SHIFTS]
     if mixed * 4 > tokens:
         kind = JUNK
     elif common * 8 >= words and words >= 4:
