@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 # Character classes in Java syntax.
 SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 NOT_SPACE = SPACE.replace("[", "[^", 1)
 WORD = r"\p{L}\p{N}_"
 BEFORE = rf"(?<![{WORD}])"
@@ -45,7 +46,7 @@ BLOCK_END = r"[.!?;:]$"
 
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:

@@ -39,16 +39,17 @@ def folded(text: Column, repeated: Column) -> Column:
     taken up by a hyphen repair. Tests in order: taken up, blank (forgets the last key), repeated,
     artifact, low value, equal to the last kept line, hyphen repair, keep.
     """
-    raw = F.transform(F.split(text, "\n", -1), lambda x: T.strip(x))
+    raw = F.transform(F.split(text, "\n", -1), lambda x: F.struct(T.strip(x).alias("line"), T.canonical(x).alias("key")))
+
+    def rule(x: Column) -> Column:
+        s = x["line"]
+        return F.when(s == "", 0).when(F.array_contains(repeated, x["key"]), 1).when(T.is_artifact(s), 2).when(T.is_low_value(s), 3).otherwise(9)
+
+    # The inner lambda sees the lines as a variable; named as an expression they would be split anew for each line.
     facts = F.transform(
-        raw,
-        lambda x, i: F.struct(
-            x.alias("line"),
-            F.coalesce(F.try_element_at(raw, (i + 2).cast("int")), F.lit("")).alias("next"),
-            T.canonical(x).alias("key"),
-            F.when(x == "", 0).when(F.array_contains(repeated, T.canonical(x)), 1).when(T.is_artifact(x), 2).when(T.is_low_value(x), 3).otherwise(9).alias("rule"),
-        ),
-    )
+        F.array(raw),
+        lambda r: F.transform(r, lambda x, i: F.struct(x["line"].alias("line"), F.coalesce(F.try_element_at(r, (i + 2).cast("int"))["line"], F.lit("")).alias("next"), x["key"].alias("key"), rule(x).alias("rule"))),
+    )[0]
     zeros = F.array_repeat(F.lit(0).cast("bigint"), 5)
     start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit("").alias("last"), F.lit(False).alias("skip"), zeros.alias("n"))
 
