@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.session import checkpoint
+
 #: Letters of other scripts and the Latin letters they look like, pair by pair.
 CYRILLIC = "аАВсСԁеЕһНіІјЈКӏМоОрРԛѕЅТԝхХуУ"
 CYRILLIC_AS = "aABcCdeEhHiIjJKlMoOpPqsSTwxXyY"
@@ -128,7 +130,7 @@ def equal_looks(df: DataFrame, key: str, text: str) -> DataFrame:
     Stored forms are collapsed first and paired by skeleton, so that a form held by very many
     rows is one member of its group; rows come back through their form. Work follows the result.
     """
-    rows = prints(df, key, text)
+    rows = checkpoint(prints(df, key, text))
     forms = rows.select("look", "stored").distinct()
     several = forms.groupBy("look").count().where("count > 1").select("look")
     rows = rows.join(several, "look", "left_semi").distinct()
@@ -144,7 +146,7 @@ def equal_looks(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def look_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     """(`key`, class_id, forms, members): the class of equal looks of each row with ink."""
-    rows = prints(df, key, text)
+    rows = checkpoint(prints(df, key, text))
     sizes = rows.groupBy("look", "stored").agg(F.count(F.lit(1)).alias("n")).groupBy("look").agg(F.count(F.lit(1)).alias("forms"), F.sum("n").alias("members"))
     return rows.join(sizes, "look").select(F.col("k").alias(key), F.hex("look").alias("class_id"), "forms", "members")
 
