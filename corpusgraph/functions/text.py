@@ -123,7 +123,8 @@ def is_upper(c: Column) -> Column:
 
 
 def n_words(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(rf"{NOT_SPACE}+"))
+    # Printable ASCII first: a plain range is far cheaper than the class of all that is no space.
+    return F.regexp_count(c, F.lit(rf"(?:[!-~]++|{NOT_SPACE})++"))
 
 
 def n_alnum(c: Column) -> Column:

@@ -11,7 +11,7 @@ from corpusgraph.operators import lines as L
 from corpusgraph.operators import merge as M
 from corpusgraph.operators import ocrplan as O
 from corpusgraph.operators import quality as Q
-from corpusgraph.session import read_table
+from corpusgraph.session import read_table, spread
 from corpusgraph.streaming.resume import not_done
 
 # DuckDB's regular expressions know no Unicode white space, so it is spelled out.
@@ -46,7 +46,7 @@ def pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents")
+    return spread(read_table(spark, d, "documents").select("doc_id", "source", "text", "n_chars", "pages"))
 
 
 # --- chunks -----------------------------------------------------------------------------------

@@ -17,6 +17,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores if it comes in fewer partitions than there are, as a small table of one file does.
+
+    Large tables have more partitions than cores and are left as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` into the folder all executors share.
 
