@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.llm import canonical, encode, pack, reading, scan_repair, site_lines, skeleton, split, text_quality
-from corpusgraph.session import checkpoint, read_table
+from corpusgraph.session import checkpoint, read_table, spread
 
 
 def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -31,7 +31,7 @@ def p6_cases(spark: SparkSession, d: str) -> DataFrame:
     at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), F.col("record_id").alias("source"), F.col("page").alias("cluster")).where("path is not null").distinct()
     place_of = ok.select("result_id", "path").join(at, "path").select("result_id", "source", "cluster")
     common = text_quality.common_words(read_table(spark, d, "common_words"))
-    return scan_repair.cases(ok, read_table(spark, d, "documents").select("text"), place_of, common)
+    return scan_repair.cases(spread(ok.select("result_id", "text")), spread(read_table(spark, d, "documents").select("text")), place_of, common)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,20 +41,20 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
-    return encode.encode_corpus(read_table(spark, d, "documents"))
+    return encode.encode_corpus(spread(read_table(spark, d, "documents").select("doc_id", "text")))
 
 
 def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
     """Statistics and verdict of every merged page, each page once."""
     common = text_quality.common_words(read_table(spark, d, "common_words"))
-    pages = read_table(spark, d, "final_pages").where("record_id is not null and page is not null")
+    pages = spread(read_table(spark, d, "final_pages").where("record_id is not null and page is not null").select("record_id", "page", "final_text"))
     return text_quality.text_statistics(pages, ["record_id", "page"], "final_text", common).dropDuplicates(["record_id", "page"])
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Pages with text of which more than half is no running prose."""
     common = text_quality.common_words(read_table(spark, d, "common_words"))
-    pages = read_table(spark, d, "final_pages").where("record_id is not null and page is not null and final_text is not null")
+    pages = spread(read_table(spark, d, "final_pages").where("record_id is not null and page is not null and final_text is not null").select("record_id", "page", "final_text"))
     stats = text_quality.text_statistics(pages, ["record_id", "page"], "final_text", common)
     return stats.where("verdict not in ('prose', 'empty')").select("record_id", "page").distinct()
 
@@ -145,7 +145,7 @@ def _languages(spark: SparkSession, d: str) -> dict[str, frozenset[str]]:
 
 def p9_levels(spark: SparkSession, d: str) -> DataFrame:
     """Level and band of every English prose document."""
-    return reading.rate(read_table(spark, d, "documents"), read_table(spark, d, "reading_labels"), _languages(spark, d))
+    return reading.rate(spread(read_table(spark, d, "documents").select("doc_id", "text")), read_table(spark, d, "reading_labels"), _languages(spark, d))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
