@@ -168,8 +168,8 @@ def force_step(state: DataFrame, edges: DataFrame, alpha: float) -> DataFrame:
     return out.withColumn("x", F.col("x") + F.col("vx")).withColumn("y", F.col("y") + F.col("vy")).select(*state.columns)
 
 
-def simulate(state: DataFrame, edges: DataFrame, alpha: float = 1.0, most_steps: int = 1000, every: int = 5) -> DataFrame:
-    """Steps until the layout has cooled down; the lineage is cut every few steps."""
+def simulate(state: DataFrame, edges: DataFrame, alpha: float = 1.0, most_steps: int = 1000, every: int = 1) -> DataFrame:
+    """Steps until the layout has cooled down; a step reads the state several times, so the lineage is cut after each."""
     for i in range(most_steps):
         if alpha < REST:
             break
