@@ -25,13 +25,23 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).where("piece_no = 2").select("src", "item_id")
 
 
-def p6_cases(spark: SparkSession, d: str) -> DataFrame:
-    """Furniture, cut words and misread words of all good results, with what replaces a misread word."""
+def _scans(spark: SparkSession, d: str) -> tuple:
+    """What the repair of scanned pages is given: good results, documents, places of results, common words."""
     ok = read_table(spark, d, "ocr_results").where("status = 'ok'").select("result_id", "path", "text")
     at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), F.col("record_id").alias("source"), F.col("page").alias("cluster")).where("path is not null").distinct()
     place_of = ok.select("result_id", "path").join(at, "path").select("result_id", "source", "cluster")
     common = text_quality.common_words(read_table(spark, d, "common_words"))
-    return scan_repair.cases(spread(ok.select("result_id", "text")), spread(read_table(spark, d, "documents").select("text")), place_of, common)
+    return spread(ok.select("result_id", "text")), spread(read_table(spark, d, "documents").select("text")), place_of, common
+
+
+def p6_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Furniture, cut words and misread words of all good results, with what replaces a misread word."""
+    return scan_repair.cases(*_scans(spark, d))
+
+
+def p6_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The text of every good result repaired into continuous paragraphs."""
+    return scan_repair.texts(*_scans(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -167,6 +177,7 @@ QUERIES = {
     "p5_forms": p5_forms,
     "p6_cases": p6_cases,
     "p6_found": p6_found,
+    "p6_texts": p6_texts,
     "p7_ids": p7_ids,
     "p8_slots": p8_slots,
     "p9_found": p9_found,
