@@ -58,3 +58,10 @@ def one_per_id(records: DataFrame) -> DataFrame:
 def is_given(c: Column) -> Column:
     """Neither null nor empty nor N/A in any case."""
     return c.isNotNull() & (c != "") & (F.upper(c) != "N/A")
+
+
+def download_candidates(records: DataFrame, limit: int = 0) -> DataFrame:
+    """Records whose file is to be fetched: kind, address and place are given; the first `limit` by id, 0 for all."""
+    out = records.where("kind in ('PDF', 'IMG') and coalesce(source_url, '') <> '' and coalesce(local_path, '') <> ''")
+    out = out.orderBy("id").limit(limit) if limit else out
+    return out.select("id", "kind", "source_url", "local_path")

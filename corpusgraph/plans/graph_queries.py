@@ -154,9 +154,13 @@ def q_distinct_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_download_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Records whose file is to be fetched: kind, address and place are given; the first 100 by id."""
-    df = records(spark, d).where("kind in ('PDF', 'IMG') and coalesce(source_url, '') <> '' and coalesce(local_path, '') <> ''")
-    return df.orderBy("id").limit(100).select("id", "kind", "source_url", "local_path")
+    """The first 100 by id of the records whose file is to be fetched, as the query's SQL asks; all are in q_download_all."""
+    return R.download_candidates(records(spark, d), 100)
+
+
+def q_download_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every record whose file is to be fetched."""
+    return R.download_candidates(records(spark, d))
 
 
 def q_agencies(spark: SparkSession, d: str) -> DataFrame:
@@ -493,6 +497,7 @@ PAIRS: dict[str, tuple] = {
     "q_kind_counts": (q_kind_counts, f"WITH {SQL_RECORDS} SELECT kind, count(*) AS n, count(repair) AS repaired, count(warning) AS warned FROM records GROUP BY kind"),
     "q_distinct_files": (q_distinct_files, f"WITH {SQL_RECORDS} SELECT kind, count(*) AS n, count(DISTINCT local_path) AS files FROM records WHERE local_path <> '' GROUP BY kind"),
     "q_download_candidates": (q_download_candidates, f"WITH {SQL_RECORDS} SELECT id, kind, source_url, local_path FROM records WHERE kind IN ('PDF', 'IMG') AND coalesce(source_url, '') <> '' AND coalesce(local_path, '') <> '' ORDER BY id LIMIT 100"),
+    "q_download_all": (q_download_all, f"WITH {SQL_RECORDS} SELECT id, kind, source_url, local_path FROM records WHERE kind IN ('PDF', 'IMG') AND coalesce(source_url, '') <> '' AND coalesce(local_path, '') <> ''"),
     "q_agencies": (q_agencies, f"WITH {SQL_RECORDS} SELECT agency, count(*) AS n FROM records WHERE agency IS NOT NULL AND agency <> '' AND upper(agency) <> 'N/A' GROUP BY agency"),
     "q_record_layers": (q_record_layers, f"WITH {SQL_LAYERED} SELECT id, extraction_status, page_count, text_chars, ocr_text_chars, final_text_chars, final_text_path FROM layered"),
     "q_layer_totals": (q_layer_totals, f"WITH {SQL_LAYERED} SELECT kind, extraction_status, count(*) AS n, CAST(sum(page_count) AS BIGINT) AS pages, CAST(sum(final_text_chars) AS BIGINT) AS final_text_chars FROM layered GROUP BY kind, extraction_status"),
