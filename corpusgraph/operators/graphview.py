@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,6 +195,80 @@ def close_pairs(points: DataFrame, limit2: float = REACH2, lift: float = LIFT) -
     return out.withColumn("dist2", dist2).where(F.col("dist2") <= limit2).select("id_a", "id_b", "dist2")
 
 
+def _disc(k: int, side: float, limit2: float, lift: float) -> list[tuple[int, int, int]]:
+    """(dy, inner, outer) of rows of cells about a cell: cells of |dx| <= inner lie wholly in reach of it (-1: none), beyond outer none does."""
+    out = []
+    for dy in range(-k - 1, k + 2):
+        far = lambda dx: ((abs(dx) + 1) ** 2 + (abs(dy) + 1) ** 2) * side * side + lift  # noqa: B023, E731
+        close = lambda dx: (max(abs(dx) - 1, 0) ** 2 + max(abs(dy) - 1, 0) ** 2) * side * side + lift  # noqa: B023, E731
+        # Cells at the very edge, where rounding may matter, are compared point by point.
+        inner = max((dx for dx in range(k + 2) if far(dx) <= limit2 * (1 - 1e-9)), default=-1)
+        outer = max((dx for dx in range(k + 2) if close(dx) <= limit2 * (1 + 1e-9)), default=-1)
+        if outer >= 0:
+            out.append((dy, inner, outer))
+    return out
+
+
+def count_in_reach(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, limit2: float, lift: float) -> np.ndarray:
+    """For each point a, the number of points b with dx² + dy² + lift <= limit2.
+
+    Cells wholly in reach are counted by sums of their rows, only those the edge runs through by
+    their points; cells are the narrower the more points there are.
+    """
+    k = max(2, min(128, int(math.sqrt(len(bx)) / 6)))
+    side = math.sqrt(limit2 - lift) / k
+    pad = k + 2
+    cell = lambda v: np.floor(v / side).astype(np.int64)
+    acx, acy, bcx, bcy = cell(ax), cell(ay), cell(bx), cell(by)
+    x0, y0 = min(acx.min(), bcx.min()) - pad, min(acy.min(), bcy.min()) - pad
+    width, height = max(acx.max(), bcx.max()) + pad + 1 - x0, max(acy.max(), bcy.max()) + pad + 1 - y0
+    at = (bcy - y0) * width + (bcx - x0)
+    order = np.argsort(at, kind="stable")
+    bx, by = bx[order], by[order]
+    before = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=width * height))])
+    own = (acy - y0) * width + (acx - x0)
+    mine = np.argsort(own, kind="stable")
+    cells, first = np.unique(own[mine], return_index=True)
+    dy, inner, outer = np.array(_disc(k, side, limit2, lift)).T
+    some = inner >= 0
+    n = np.zeros(len(ax), dtype=np.int64)
+    for c, idx in zip(cells, np.split(mine, first[1:])):
+        row = c + dy * width
+        whole = (before[row + inner + 1] - before[row - inner])[some].sum()
+        lo = np.concatenate([row - outer, (row + inner + 1)[some]])
+        hi = np.concatenate([np.where(some, row - inner, row + outer + 1), (row + outer + 1)[some]])
+        spans = [(a, b) for a, b in zip(before[lo].tolist(), before[hi].tolist()) if a < b]
+        n[idx] = whole
+        if not spans:
+            continue
+        ex, ey = (np.concatenate([v[a:b] for a, b in spans]) for v in (bx, by))
+        step = max(1, 4_000_000 // len(ex))
+        for i in range(0, len(idx), step):
+            j = idx[i : i + step]
+            dx, dy_ = ax[j, None] - ex, ay[j, None] - ey
+            n[j] += (dx * dx + dy_ * dy_ + lift <= limit2).sum(axis=1)
+    return n
+
+
+def close_counts(points: DataFrame, limit2: float = REACH2, lift: float = LIFT) -> DataFrame:
+    """(id, n): for each of all points (id string, x, y) the number of others with dx² + dy² + lift <= limit2.
+
+    A point goes to the nine squares as wide as the reach about its own; a square counts for its own points.
+    """
+    side = math.sqrt(max(limit2 - lift, 1e-9))
+    own = (F.col("cx") == F.floor(F.col("x") / side)) & (F.col("cy") == F.floor(F.col("y") / side))
+    p = _cells(points.select("id", "x", "y"), side, "", True).withColumn("own", own)
+    p = p.withColumn("id", F.when(F.col("own"), F.col("id")))
+
+    def count(t: pa.Table) -> pa.Table:
+        x, y, mine = (t.column(c).to_numpy() for c in ("x", "y", "own"))
+        ids = t.column("id").filter(t.column("own")).cast(pa.string())
+        n = count_in_reach(x[mine], y[mine], x, y, limit2, lift) - 1 if mine.any() else np.zeros(0, dtype=np.int64)
+        return pa.table({"id": ids, "n": pa.array(n, type=pa.int64())})
+
+    return p.groupBy("cx", "cy").applyInArrow(count, "id string, n bigint")
+
+
 def nearest(points: DataFrame, x: float, y: float, reach: float = 6.0) -> DataFrame:
     """The point (id, x, y, radius) nearest to a place, if nearer than its radius and `reach`; ties by id."""
     d = F.sqrt(F.pow(F.col("x") - F.lit(x), 2) + F.pow(F.col("y") - F.lit(y), 2))

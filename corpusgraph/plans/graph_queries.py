@@ -427,6 +427,11 @@ def q_close_pairs(spark: SparkSession, d: str) -> DataFrame:
     return pairs.groupBy("id_a").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_close_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many other nodes are in reach of each node of the layout, over nodes of all types."""
+    return V.close_counts(_placed(spark, d))
+
+
 SQL_CLOSE = f"WITH {_SQL_PLACED} SELECT a.id AS id_a, count(*) AS n FROM placed a JOIN placed b ON a.type = 'agency' AND b.type = 'agency' AND a.id < b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 150000 GROUP BY a.id"
 
 
@@ -523,6 +528,7 @@ PAIRS: dict[str, tuple] = {
     "q_viewport": (q_viewport, SQL_VIEWPORT),
     "q_force_step": (q_force_step, SQL_FORCE),
     "q_close_pairs": (q_close_pairs, SQL_CLOSE),
+    "q_close_counts": (q_close_counts, None),
     "q_nearest": (q_nearest, SQL_NEAREST),
     "q_validate": (q_validate, SQL_VALIDATE),
     "q_labels": (q_labels, SQL_LABELS),
