@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -26,19 +28,49 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` into the folder all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, which a cluster must set.
 
-    The cluster names that folder in spark.checkpoint.dir; one is set here only where the
-    setting is missing, which is the case in tests on a single machine.
+    On a single machine (local mode, as in tests) a folder is made where the setting is missing;
+    anywhere else that is an error, as other machines would not see such a folder.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(folder)
+    return folder
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of `df` into the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as a table to the shared folder and read again: lineage is cut, columns are compressed and pruned.
+
+    The table is removed when the driver's process ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 - the session may be gone before the process
+        pass
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python, which on a cluster may not have it installed."""
     sc = spark.sparkContext
