@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.llm import canonical, encode, pack, reading, scan_repair, site_lines, skeleton, split, text_quality
-from corpusgraph.session import checkpoint, read_table, spread
+from corpusgraph.session import checkpoint, read_table, spread, stored
 
 
 def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -69,24 +69,23 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return stats.where("verdict not in ('prose', 'empty')").select("record_id", "page").distinct()
 
 
-def scanned(spark: SparkSession, d: str) -> DataFrame:
-    """Good results with ink: doc, source (record), cluster (page), need, text.
+def scanned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(texts, places): good results with ink (doc, at, text), and the pages where their paths stand.
 
-    The small tables are joined first, so the texts are shuffled once, by path, which no hot
-    record can skew. A path that stands for several pages gives a row for each.
+    A path that stands for several pages has a place for each; date is the record's release date.
     """
-    at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("path"), "record_id", "page").where("path is not null and record_id is not null").distinct()
-    ok = read_table(spark, d, "ocr_results").where("status = 'ok' and trim(text) <> ''").select("result_id", "path", "text")
-    full = at.join(ok.select("path").distinct(), "path", "left_semi")
-    need = full.groupBy("record_id").agg(F.countDistinct("page").alias("clusters")).select("record_id", site_lines.needed().alias("need"))
-    place = full.join(need, "record_id")
-    return ok.join(place.hint("shuffle_hash"), "path").select(F.col("result_id").alias("doc"), F.col("record_id").alias("source"), F.col("page").alias("cluster"), "need", "text")
+    texts = read_table(spark, d, "ocr_results").where("status = 'ok' and trim(text) <> ''").select(F.col("result_id").alias("doc"), F.col("path").alias("at"), "text")
+    at = read_table(spark, d, "ocr_pages").select(F.col("image_path").alias("at"), F.col("record_id").alias("source"), F.col("page").alias("cluster")).where("at is not null and source is not null and cluster is not null").distinct()
+    full = at.join(texts.select("at").distinct(), "at", "left_semi")
+    need = full.groupBy("source").agg(F.countDistinct("cluster").alias("clusters")).select("source", site_lines.needed().alias("need"))
+    dates = read_table(spark, d, "pdf_records").where("id is not null").select(F.col("id").alias("source"), "release_date").groupBy("source").agg(F.min("release_date").alias("date"))
+    return spread(texts), stored(full.join(need, "source").join(dates, "source", "left"))
 
 
 def p2_occurrences(spark: SparkSession, d: str) -> DataFrame:
-    """Every occurrence of a line repeated over a record's pages, with its key and count."""
-    found = site_lines.repeated_lines(scanned(spark, d))
-    return found.select(F.col("doc").alias("result_id"), "line_no", "key", "n_clusters")
+    """Every occurrence of a line repeated over a record's pages, with its key and how many pages and dates it has."""
+    found = site_lines.repeated(*scanned(spark, d))
+    return found.select(F.col("doc").alias("result_id"), "line_no", "key", "n_clusters", "n_dates")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -96,9 +95,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_texts(spark: SparkSession, d: str) -> DataFrame:
     """Page texts without the repeated lines of their record."""
-    docs = scanned(spark, d)
-    found = site_lines.repeated_lines(docs)
-    out = site_lines.drop_lines(docs.select("doc", "text").distinct(), found)
+    texts, places = scanned(spark, d)
+    out = site_lines.drop_lines(texts.join(places.select("at").distinct(), "at", "left_semi").select("doc", "text"), site_lines.repeated(texts, places))
     return out.withColumnRenamed("doc", "result_id")
 
 
