@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Character classes in Java syntax.
@@ -112,6 +112,17 @@ def normalize(c: Column) -> Column:
     return tidy(nfkc(c))
 
 
+def with_normalized(df: DataFrame, text: str, name: str) -> DataFrame:
+    """`df` with the normalized text as column `name`; only rows that hold a character beyond ASCII go through Python.
+
+    Both halves read `df`, which should be a stored table. Null texts stay null.
+    """
+    plain = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x00-\x7f]")) == 0, F.lit(True))
+    a = df.where(plain).withColumn(name, tidy(F.col(text)))
+    b = df.where(~plain).withColumn(name, tidy(_nfkc()(F.col(text))))
+    return a.unionByName(b)
+
+
 def canonical(c: Column) -> Column:
     """Comparison key of a line of normalized text."""
     return F.regexp_replace(F.lower(strip(c)), rf"{SPACE}+", " ")
@@ -185,21 +196,24 @@ def boilerplate_threshold(pages: Column) -> Column:
     return F.when(pages < 16, F.lit(3)).otherwise(F.greatest(F.lit(4), F.floor(pages * F.lit(0.18)).cast("int"))).cast("bigint")
 
 
-def text_stats(c: Column) -> dict[str, Column]:
-    """The five statistics of a text, by name."""
+STATS = ("token_count", "alpha_word_count", "natural_language_score", "sentence_like_blocks", "line_count")
+
+
+def with_stats(df: DataFrame, text: str) -> DataFrame:
+    """`df` with the five statistics of a text; words and tokens are looked for once."""
+    c = F.col(text)
     words = F.regexp_extract_all(c, F.lit(f"({ALPHA_WORD})"), F.lit(1))
-    vowels = F.size(F.filter(words, lambda w: w.rlike(VOWEL))).cast("bigint")
-    tokens = n_words(c).cast("bigint")
-    per = F.greatest(tokens, F.lit(1).cast("bigint"))
+    counts = F.transform(F.array(words), lambda w: F.struct(F.size(w).cast("bigint").alias("n"), F.size(F.filter(w, lambda x: x.rlike(VOWEL))).cast("bigint").alias("v")))[0]
     blocks = F.filter(F.split(c, r"\n{2,}"), lambda b: (F.regexp_count(b, F.lit(ALPHA_WORD)) >= 8) & strip(b).rlike(BLOCK_END))
     lines = F.filter(F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]", -1), lambda x: strip(x) != "")
-    return {
-        "token_count": tokens,
-        "alpha_word_count": F.size(words).cast("bigint"),
-        "natural_language_score": F.floor((vowels * 2000 + per) / (per * 2)) / F.lit(1000.0),
-        "sentence_like_blocks": F.size(blocks).cast("bigint"),
-        "line_count": F.size(lines).cast("bigint"),
-    }
+    facts = F.struct(n_words(c).cast("bigint").alias("t"), counts.alias("w"), F.size(blocks).cast("bigint").alias("b"), F.size(lines).cast("bigint").alias("l"))
+    # One element's transform keeps the facts from being worked out again for each statistic.
+    facts = F.transform(F.array(facts), lambda x: x)[0]
+    per = F.greatest(F.col("_facts.t"), F.lit(1).cast("bigint"))
+    score = F.floor((F.col("_facts.w.v") * 2000 + per) / (per * 2)) / F.lit(1000.0)
+    cells = (F.col("_facts.t"), F.col("_facts.w.n"), score, F.col("_facts.b"), F.col("_facts.l"))
+    out = df.withColumn("_facts", facts)
+    return out.select(*df.columns, *(x.alias(n) for x, n in zip(cells, STATS)))
 
 
 def clamp(c: Column, limit: int) -> Column:
@@ -218,6 +232,47 @@ def spaced_label_once(c: Column) -> Column:
     return F.regexp_replace(c, r"^([^|]*)\|", "$1 / ")
 
 
+# What the viewer calls the relations.
+RELATION_LABELS = {
+    "contains_record": "contains record",
+    "from_agency": "from agency",
+    "supported_by": "supported by",
+    "incident_date": "incident date",
+    "incident_location": "incident location",
+    "video_pairing": "video pairing",
+    "pdf_pairing": "PDF pairing",
+}
+
+
+def relation_label(c: Column) -> Column:
+    """The viewer's name of a relation; others have their underscores as blanks."""
+    out = F.replace(c, F.lit("_"), F.lit(" "))
+    for name, label in RELATION_LABELS.items():
+        out = F.when(c == name, F.lit(label)).otherwise(out)
+    return out
+
+
+def number(c: Column) -> Column:
+    """A whole number with commas between thousands; null as 0."""
+    return F.format_number(F.coalesce(c, F.lit(0)), 0)
+
+
+def page_section(page: Column, source: Column, text: Column) -> Column:
+    """A page of a readable document below its heading."""
+    return F.concat(F.format_string("\n## Page %d (%s)\n\n", page, source), text, F.lit("\n"))
+
+
+def document_header() -> Column:
+    """Markdown header of a record from its columns; blank fields as N/A, a blank title as the id."""
+    given = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("N/A"))
+    fields = (("Agency", "agency"), ("Release date", "release_date"), ("Incident date", "incident_date"), ("Incident location", "incident_location"), ("Source URL", "source_url"))
+    parts = [F.lit("# "), F.coalesce(F.nullif(F.col("title"), F.lit("")), F.col("id")), F.lit("\n\n- Record ID: `"), F.col("id"), F.lit("`")]
+    for label, c in fields:
+        parts += [F.lit(f"\n- {label}: "), given(c)]
+    more = F.when(F.coalesce("description", F.lit("")) != "", F.concat(F.lit("\n\n## Official Description\n\n"), F.col("description"))).otherwise(F.lit(""))
+    return F.concat(strip(F.concat(*parts, more)), F.lit("\n"))
+
+
 def humanized(c: Column) -> Column:
     """A type or relation name as words with a capital."""
     words = F.replace(c, F.lit("_"), F.lit(" "))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
+from corpusgraph.session import small, stored
 
 #: Names of what was done to lines, in the order in which the rules are tried.
 ACTIONS = (
@@ -103,11 +104,14 @@ def paragraphs(lines: Column) -> Column:
 def cleaned(pages: DataFrame, text: str = "text") -> DataFrame:
     """`pages` with clean_text and the six action counts as columns; `text` must be normalized.
 
-    The repeated lines of a record are few, and come to its pages by a join on the record.
+    `pages` is read twice and should be a stored table. The repeated lines of the records are kept
+    as a table of a row per record and broadcast if it is small, so that texts are not shuffled.
     """
-    repeated = repeated_lines(pages, text).groupBy("record_id").agg(F.collect_set("key").alias("repeated"))
+    repeated = small(stored(repeated_lines(pages, text).groupBy("record_id").agg(F.collect_set("key").alias("repeated"))))
     df = pages.join(repeated, "record_id", "left").withColumn("repeated", F.coalesce("repeated", F.array().cast("array<string>")))
-    df = df.withColumn("fold", folded(F.col(text), F.col("repeated"))).withColumn("par", paragraphs(F.col("fold.lines")))
+    # One element's transform keeps each fold from being worked out again for every column read from it.
+    once = lambda c: F.transform(F.array(c), lambda x: x)[0]
+    df = df.withColumn("fold", once(folded(F.col(text), F.col("repeated")))).withColumn("par", once(paragraphs(F.col("fold.lines"))))
     out = df.withColumn("clean_text", T.strip(F.array_join("par.parts", "\n\n")))
     for i, name in enumerate(ACTIONS[:5]):
         out = out.withColumn(name, F.col("fold.n")[i])

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
 from corpusgraph.operators import chunks as C
+from corpusgraph.operators import curate as K
 from corpusgraph.operators import lines as L
 from corpusgraph.operators import merge as M
 from corpusgraph.operators import ocrplan as O
 from corpusgraph.operators import quality as Q
-from corpusgraph.session import read_table, spread
+from corpusgraph.session import read_table, shared_folder, spread, stored
 from corpusgraph.streaming.resume import not_done
 
 # DuckDB's regular expressions know no Unicode white space, so it is spelled out.
@@ -39,10 +40,58 @@ def sql_word(pattern: str) -> str:
     return f"(?i)(^|[^{WORD}])({pattern})($|[^{WORD}])"
 
 
-def pages(spark: SparkSession, d: str) -> DataFrame:
-    """Every page of final_pages once, with normalized text."""
-    df = read_table(spark, d, "final_pages").where("record_id is not null and page is not null").dropDuplicates(["record_id", "page"])
-    return df.withColumn("text", T.normalize(F.coalesce("final_text", F.lit(""))))
+# SQL of the line rules, over an expression for a stripped line.
+
+
+def sql_boilerplate(e: str) -> str:
+    return f"""({e} <> '' AND length({e}) <= 110 AND (regexp_matches({e}, '^[0-9]{{1,4}}$') OR regexp_matches({e}, '{sql_word(f"(page|p[.])[{WS}]*[0-9]+")}')
+    OR regexp_matches({e}, '{sql_word("contract|report|task|section|serial|document|distribution")}')
+    OR regexp_matches({e}, '{sql_word("secret|confidential|unclassified|for official use only|released under")}')
+    OR regexp_matches({e}, '{sql_word("[0-9]{2,4}[-/][A-Z0-9][A-Z0-9/-]{2,}")}') OR ({sql_upper(e)} AND {sql_words(e)} <= 8)))"""
+
+
+def sql_artifact(e: str) -> str:
+    n, a = f"length({e})", sql_alnum(e)
+    return f"""({n} > 0 AND ({n} <= 1 OR ({a} = 0 AND {n} >= 3) OR ({n} >= 6 AND {a}::DOUBLE / {n} < 0.18::DOUBLE) OR regexp_matches({e}, '^[-_=~*.,;: /\\[\\](){{}}<>|\\\\]+$') OR ({n} >= 6 AND replace({e}, {e}[1], '') = '')))"""
+
+
+def sql_low_value(e: str) -> str:
+    return f"(length({e}) <= 5 AND (regexp_matches({e}, '^[A-Za-z]{{1,2}}$') OR regexp_matches({e}, '^[0-9]{{1,2}}$') OR (regexp_matches({e}, '^[A-Za-z0-9][A-Za-z0-9.,:-]{{0,4}}$') AND NOT regexp_matches({e}, '[a-z]'))))"
+
+
+def sql_table(e: str) -> str:
+    n, a = f"length({e})", sql_alnum(e)
+    return f"({n} > 0 AND ({n} <= 3 OR ({a} > 0 AND {n}::DOUBLE / greatest({a}, 1) > 2.8::DOUBLE) OR (regexp_matches({e}, '^[A-Z0-9/.,:;#() \\[\\]-]{{1,32}}$') AND {sql_words(e)} <= 5)))"
+
+
+def sql_heading(e: str) -> str:
+    return f"({e} <> '' AND (regexp_matches({e}, '^(SECRET|CONFIDENTIAL|UNCLASSIFIED)') OR (length({e}) <= 72 AND {sql_upper(e)} AND {sql_words(e)} <= 10) OR regexp_matches({e}, '(?i)^(Form Approved|REPORT DOCUMENTATION PAGE|Abstract|NOTE:|SUBJECT:)')))"
+
+
+def sql_structural(e: str) -> str:
+    return f"(regexp_matches({e}, '(?i)^([A-Z][.]|[0-9]+[.]|[-*•]|[(][a-z0-9]+[)])[{WS}]+') OR regexp_matches({e}, '(?i)^(From|To|Subject|Date|Dear|Sincerely|At [0-9]{{3,4}} hours)($|[^{WORD}])'))"
+
+
+def sql_joins(x: str, y: str) -> str:
+    return f"""(CASE WHEN {x} = '' OR {y} = '' THEN false WHEN {sql_heading(x)} OR {sql_heading(y)} THEN false WHEN {sql_table(x)} OR {sql_table(y)} THEN false
+    WHEN {sql_structural(y)} THEN false WHEN regexp_matches({x}, '[.?!:;"\\])]$') THEN false WHEN length({x}) < 18 AND length({y}) < 32 THEN false
+    WHEN regexp_matches({y}, '^\\p{{Ll}}') THEN true ELSE length({x}) > 45 AND length({y}) > 20 END)"""
+
+
+def sql_canonical(e: str) -> str:
+    return f"regexp_replace(lower({sql_strip(e)}), '[{WS}]+', ' ', 'g')"
+
+
+def page_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Every page of final_pages once."""
+    return read_table(spark, d, "final_pages").where("record_id is not null and page is not null").dropDuplicates(["record_id", "page"])
+
+
+def pages(spark: SparkSession, d: str, compatible: bool = True) -> DataFrame:
+    """Every page of final_pages once, with normalized text, as a stored table; `compatible` is the NFKC step, which SQL lacks."""
+    df = page_rows(spark, d).withColumn("raw", F.coalesce("final_text", F.lit(""))).drop("final_text")
+    out = T.with_normalized(stored(df), "raw", "text") if compatible else df.withColumn("text", T.tidy(F.col("raw")))
+    return stored(spread(out.drop("raw")))
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -58,24 +107,27 @@ def q_chunk_pack(spark: SparkSession, d: str) -> DataFrame:
     return df.select("doc_id", "chunk_no", F.length("chunk").cast("bigint").alias("chunk_chars"), F.md5("chunk").alias("chunk_md5"))
 
 
-SQL_CHUNKS = f"""
-base AS (SELECT doc_id, source, {sql_strip('text')} AS t FROM documents WHERE text IS NOT NULL),
+def sql_chunks(columns: str, text: str, source: str) -> str:
+    """Tables base, packed and chunked of the texts of a table; `columns` are kept."""
+    both = "CASE WHEN a.open = '' THEN x.open ELSE a.open || chr(10) || chr(10) || x.open END"
+    done = "CASE WHEN a.open = '' THEN a.done ELSE list_append(a.done, a.open) END"
+    return f"""
+base AS (SELECT {columns}, {sql_strip(text)} AS t FROM {source} WHERE {text} IS NOT NULL),
 packed AS (
-  SELECT doc_id, source, list_reduce(
+  SELECT {columns}, list_reduce(
     list_prepend({{'done': []::VARCHAR[], 'open': ''}}, list_transform(string_split(t, chr(10) || chr(10)), lambda p: {{'done': []::VARCHAR[], 'open': p}})),
-    lambda a, x: CASE
-      WHEN length(CASE WHEN a.open = '' THEN x.open ELSE a.open || chr(10) || chr(10) || x.open END) <= 1800
-        THEN {{'done': a.done, 'open': CASE WHEN a.open = '' THEN x.open ELSE a.open || chr(10) || chr(10) || x.open END}}
-      WHEN length(x.open) <= 1800
-        THEN {{'done': CASE WHEN a.open = '' THEN a.done ELSE list_append(a.done, a.open) END, 'open': x.open}}
-      ELSE {{'done': list_concat(CASE WHEN a.open = '' THEN a.done ELSE list_append(a.done, a.open) END,
-             list_transform(range(1, length(x.open) + 1, 1620), lambda i: x.open[i:i + 1799])), 'open': ''}} END) AS s
+    lambda a, x: CASE WHEN length({both}) <= 1800 THEN {{'done': a.done, 'open': {both}}}
+      WHEN length(x.open) <= 1800 THEN {{'done': {done}, 'open': x.open}}
+      ELSE {{'done': list_concat({done}, list_transform(range(1, length(x.open) + 1, 1620), lambda i: x.open[i:i + 1799])), 'open': ''}} END) AS s
   FROM base WHERE t <> ''),
 chunked AS (
-  SELECT doc_id, source, unnest(c) AS chunk, generate_subscripts(c, 1) AS chunk_no
-  FROM (SELECT doc_id, source, CASE WHEN s.open = '' THEN s.done ELSE list_append(s.done, s.open) END AS c FROM packed))
+  SELECT {columns}, unnest(c) AS chunk, generate_subscripts(c, 1) AS chunk_no
+  FROM (SELECT {columns}, CASE WHEN s.open = '' THEN s.done ELSE list_append(s.done, s.open) END AS c FROM packed))
 """
 
+
+SQL_CHUNKS = sql_chunks("doc_id, source", "text", "documents")
+
 SQL_CHUNK_PACK = f"WITH {SQL_CHUNKS} SELECT doc_id, CAST(chunk_no AS BIGINT) AS chunk_no, length(chunk) AS chunk_chars, md5(chunk) AS chunk_md5 FROM chunked"
 
 
@@ -88,10 +140,7 @@ def q_chunk_ids(spark: SparkSession, d: str) -> DataFrame:
 SQL_CHUNK_IDS = f"WITH {SQL_CHUNKS} SELECT printf('%d:p%04d:c%03d', doc_id, 1, chunk_no) AS chunk_id FROM chunked"
 
 
-def _stats(df: DataFrame, text: str) -> DataFrame:
-    for name, c in T.text_stats(F.col(text)).items():
-        df = df.withColumn(name, c)
-    return df
+_stats = T.with_stats
 
 
 def sql_stats(e: str) -> str:
@@ -105,7 +154,7 @@ def sql_stats(e: str) -> str:
     CAST({blocks} AS BIGINT) AS sentence_like_blocks, CAST({lines} AS BIGINT) AS line_count"""
 
 
-STATS = "token_count, alpha_word_count, natural_language_score, sentence_like_blocks, line_count"
+STATS = ", ".join(T.STATS)
 
 
 def q_chunk_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -126,13 +175,13 @@ SQL_CHUNK_ROLLUP = f"""WITH {SQL_CHUNKS} SELECT source, count(*) AS chunks, CAST
 
 
 def q_oversize_split(spark: SparkSession, d: str) -> DataFrame:
-    """Lengths of the slices of paragraphs of all lengths up to 6000."""
-    df = spark.range(1801, 6001).select(F.col("id").alias("n"), F.posexplode(C.windows(F.repeat(F.lit("x"), F.col("id").cast("int")))).alias("i", "slice"))
-    return df.select("n", (F.col("i") + 1).cast("bigint").alias("slice_no"), F.length("slice").cast("bigint").alias("slice_chars"))
+    """The slices of every document that is longer than a chunk, its text taken as one paragraph."""
+    df = documents(spark, d).where(F.length("text") > C.MAX_CHARS).select("doc_id", F.posexplode(C.windows(F.col("text"))).alias("i", "slice"))
+    return df.select("doc_id", (F.col("i") + 1).cast("bigint").alias("slice_no"), F.length("slice").cast("bigint").alias("slice_chars"), F.md5("slice").alias("slice_md5"))
 
 
-SQL_OVERSIZE = """SELECT n, (start - 1) // 1620 + 1 AS slice_no, least(1800, n - start + 1) AS slice_chars
-FROM (SELECT n, unnest(range(1, n + 1, 1620)) AS start FROM range(1801, 6001) t(n))"""
+SQL_OVERSIZE = """SELECT doc_id, (start - 1) // 1620 + 1 AS slice_no, length(text[start:start + 1799]) AS slice_chars, md5(text[start:start + 1799]) AS slice_md5
+FROM (SELECT doc_id, text, unnest(range(1, length(text) + 1, 1620)) AS start FROM documents WHERE length(text) > 1800)"""
 
 # --- lines ------------------------------------------------------------------------------------
 
@@ -152,18 +201,9 @@ def q_line_flags(spark: SparkSession, d: str) -> DataFrame:
     return _lines(spark, d).distinct().select(F.md5("line").alias("line_md5"), *(c.alias(n) for n, c in flags.items()))
 
 
-SQL_LINE_FLAGS = f"""WITH {SQL_LINES}, u AS (SELECT DISTINCT line, length(line) AS n, {sql_alnum('line')} AS a, {sql_words('line')} AS w, {sql_upper('line')} AS up FROM lines)
-SELECT md5(line) AS line_md5,
-  line <> '' AND n <= 110 AND (regexp_matches(line, '^[0-9]{{1,4}}$') OR regexp_matches(line, '{sql_word(f"(page|p[.])[{WS}]*[0-9]+")}')
-    OR regexp_matches(line, '{sql_word("contract|report|task|section|serial|document|distribution")}')
-    OR regexp_matches(line, '{sql_word("secret|confidential|unclassified|for official use only|released under")}')
-    OR regexp_matches(line, '{sql_word("[0-9]{2,4}[-/][A-Z0-9][A-Z0-9/-]{2,}")}') OR (up AND w <= 8)) AS boilerplate,
-  n > 0 AND (n <= 1 OR (a = 0 AND n >= 3) OR (n >= 6 AND a::DOUBLE / n < 0.18::DOUBLE) OR regexp_matches(line, '^[-_=~*.,;: /\\[\\](){{}}<>|\\\\]+$') OR (n >= 6 AND replace(line, line[1], '') = '')) AS artifact,
-  n <= 5 AND (regexp_matches(line, '^[A-Za-z]{{1,2}}$') OR regexp_matches(line, '^[0-9]{{1,2}}$') OR (regexp_matches(line, '^[A-Za-z0-9][A-Za-z0-9.,:-]{{0,4}}$') AND NOT regexp_matches(line, '[a-z]'))) AS low_value,
-  n > 0 AND (n <= 3 OR (a > 0 AND n::DOUBLE / greatest(a, 1) > 2.8::DOUBLE) OR (regexp_matches(line, '^[A-Z0-9/.,:;#() \\[\\]-]{{1,32}}$') AND w <= 5)) AS table_or_code,
-  line <> '' AND (regexp_matches(line, '^(SECRET|CONFIDENTIAL|UNCLASSIFIED)') OR (n <= 72 AND up AND w <= 10) OR regexp_matches(line, '(?i)^(Form Approved|REPORT DOCUMENTATION PAGE|Abstract|NOTE:|SUBJECT:)')) AS heading,
-  regexp_matches(line, '(?i)^([A-Z][.]|[0-9]+[.]|[-*•]|[(][a-z0-9]+[)])[{WS}]+') OR regexp_matches(line, '(?i)^(From|To|Subject|Date|Dear|Sincerely|At [0-9]{{3,4}} hours)($|[^{WORD}])') AS structural
-FROM u"""
+SQL_LINE_FLAGS = f"""WITH {SQL_LINES}, u AS (SELECT DISTINCT line FROM lines)
+SELECT md5(line) AS line_md5, {sql_boilerplate('line')} AS boilerplate, {sql_artifact('line')} AS artifact, {sql_low_value('line')} AS low_value, {sql_table('line')} AS table_or_code,
+{sql_heading('line')} AS heading, {sql_structural('line')} AS structural FROM u"""
 
 
 def q_normalize(spark: SparkSession, d: str) -> DataFrame:
@@ -177,42 +217,46 @@ def q_canonical_line(spark: SparkSession, d: str) -> DataFrame:
     return df.where("key <> ''").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_tidy(spark: SparkSession, d: str) -> DataFrame:
+    """Every page's text after the steps of normalization behind NFKC, as it is stored: length and digest."""
+    return pages(spark, d, compatible=False).select("record_id", "page", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"))
+
+
+def q_canonical_stored(spark: SparkSession, d: str) -> DataFrame:
+    """How often each canonical line stands, by text as it is stored."""
+    df = pages(spark, d, compatible=False).select(F.explode(F.split("text", "\n", -1)).alias("line")).select(T.canonical(F.col("line")).alias("key"))
+    return df.where("key <> ''").groupBy(F.md5("key").alias("key_md5")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_repeated_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Boilerplate lines repeated over the embedded pages of a record, by text as it is stored."""
-    df = read_table(spark, d, "final_pages").where("record_id is not null and page is not null").dropDuplicates(["record_id", "page"])
-    df = df.withColumn("text", T.tidy(F.coalesce("final_text", F.lit(""))))
-    return L.repeated_lines(df).select("record_id", F.md5("key").alias("key_md5"), "n_pages")
+    """Boilerplate lines repeated over the pages of a record, by text as it is stored."""
+    return L.repeated_lines(pages(spark, d, compatible=False)).select("record_id", F.md5("key").alias("key_md5"), "n_pages")
 
 
 SQL_TIDY = """regexp_replace(translate(regexp_replace(replace(replace({e}, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', ' ', 'g'), '“”‘’­', '""'''''), '[ \\t]+', ' ', 'g')"""
 
-SQL_REPEATED = f"""WITH p AS (SELECT DISTINCT record_id, page, {SQL_TIDY.format(e="coalesce(final_text, '')")} AS text FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL),
+SQL_PAGES = f"""p AS (SELECT DISTINCT record_id, page, title, source, final_text_chars, {SQL_TIDY.format(e="coalesce(final_text, '')")} AS text FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL)"""
+SQL_KEYS = f"""{SQL_PAGES},
 need AS (SELECT record_id, CASE WHEN count(*) < 16 THEN 3 ELSE greatest(4, CAST(floor(count(*) * 0.18::DOUBLE) AS BIGINT)) END AS need FROM p GROUP BY record_id),
-l AS (SELECT record_id, page, {sql_strip('line')} AS line FROM (SELECT record_id, page, unnest(regexp_split_to_array(text, '[\\n\\x{{85}}\\x{{2028}}\\x{{2029}}]')) AS line FROM p)),
-k AS (SELECT DISTINCT record_id, page, regexp_replace(lower(line), '[{WS}]+', ' ', 'g') AS key FROM l
-  WHERE line <> '' AND length(line) <= 110 AND (regexp_matches(line, '^[0-9]{{1,4}}$') OR regexp_matches(line, '{sql_word(f"(page|p[.])[{WS}]*[0-9]+")}')
-    OR regexp_matches(line, '{sql_word("contract|report|task|section|serial|document|distribution")}')
-    OR regexp_matches(line, '{sql_word("secret|confidential|unclassified|for official use only|released under")}')
-    OR regexp_matches(line, '{sql_word("[0-9]{2,4}[-/][A-Z0-9][A-Z0-9/-]{2,}")}') OR ({sql_upper('line')} AND {sql_words('line')} <= 8)))
-SELECT record_id, md5(key) AS key_md5, count(*) AS n_pages FROM k JOIN need USING (record_id) GROUP BY record_id, key, need HAVING count(*) >= need"""
+bl AS (SELECT record_id, page, {sql_strip('line')} AS line FROM (SELECT record_id, page, unnest(regexp_split_to_array(text, '[\\n\\x{{85}}\\x{{2028}}\\x{{2029}}]')) AS line FROM p)),
+bk AS (SELECT DISTINCT record_id, page, {sql_canonical('line')} AS key FROM bl WHERE {sql_boilerplate('line')}),
+rep AS (SELECT record_id, key, count(*) AS n_pages FROM bk JOIN need USING (record_id) WHERE key <> '' GROUP BY record_id, key, need HAVING count(*) >= need)"""
+SQL_REPEATED = f"WITH {SQL_KEYS} SELECT record_id, md5(key) AS key_md5, n_pages FROM rep"
+SQL_CANONICAL = f"WITH {SQL_PAGES}, c AS (SELECT {sql_canonical('line')} AS key FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM p)) SELECT md5(key) AS key_md5, count(*) AS n FROM c WHERE key <> '' GROUP BY key"
 
 
 def q_boilerplate_threshold(spark: SparkSession, d: str) -> DataFrame:
-    """The threshold for every count of pages up to 2000."""
-    return spark.range(1, 2001).select(F.col("id").alias("pages"), T.boilerplate_threshold(F.col("id")).alias("need"))
+    """On how many of its pages a line of each record must stand to be repeated."""
+    return page_rows(spark, d).groupBy("record_id").agg(F.count(F.lit(1)).alias("pages")).select("record_id", "pages", T.boilerplate_threshold(F.col("pages")).alias("need"))
 
 
-SQL_THRESHOLD = "SELECT n AS pages, CASE WHEN n < 16 THEN 3 ELSE greatest(4, CAST(floor(n * 0.18::DOUBLE) AS BIGINT)) END AS need FROM range(1, 2001) t(n)"
+SQL_THRESHOLD = """SELECT record_id, n AS pages, CASE WHEN n < 16 THEN 3 ELSE greatest(4, CAST(floor(n * 0.18::DOUBLE) AS BIGINT)) END AS need
+FROM (SELECT record_id, count(DISTINCT page) AS n FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL GROUP BY record_id)"""
 
 
-def curated(spark: SparkSession, d: str) -> DataFrame:
-    """Cleaned pages with statistics, quality and the default flag."""
-    df = _stats(L.cleaned(pages(spark, d)), "clean_text")
-    removed = sum((F.col(a) for a in L.ACTIONS if a.startswith("removed_")), F.lit(0))
-    s = {n: F.col(n) for n in STATS.split(", ")}
-    df = df.withColumn("clean_text_chars", F.length("clean_text").cast("bigint"))
-    df = df.withColumn("quality", Q.quality(F.coalesce("final_text_chars", F.lit(0)), F.col("clean_text_chars"), removed, s))
-    return df.withColumn("include_in_default_rag", Q.in_default(F.col("clean_text"), F.col("quality"), s))
+def curated(spark: SparkSession, d: str, compatible: bool = True) -> DataFrame:
+    """Cleaned pages with statistics, quality and the default flag, as a stored table."""
+    return stored(K.curated_pages(pages(spark, d, compatible)))
 
 
 def q_clean_page(spark: SparkSession, d: str) -> DataFrame:
@@ -220,21 +264,147 @@ def q_clean_page(spark: SparkSession, d: str) -> DataFrame:
     return L.cleaned(pages(spark, d)).select("record_id", "page", F.length("clean_text").cast("bigint").alias("clean_chars"), F.md5("clean_text").alias("clean_md5"))
 
 
+def q_clean_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned pages by text as it is stored: length, digest and what was done, by action."""
+    df = L.cleaned(pages(spark, d, compatible=False))
+    return df.select("record_id", "page", F.length("clean_text").cast("bigint").alias("clean_chars"), F.md5("clean_text").alias("clean_md5"), *L.ACTIONS)
+
+
+_N = ("n1", "n2", "n3", "n4", "n5")
+
+
+def _sql_state(kept: str, last: str, skip: str, plus: int = 0) -> str:
+    counts = ", ".join(f"'{n}': a.{n} + {int(i == plus)}" for i, n in enumerate(_N, 1))
+    return f"{{'kept': {kept}, 'last': {last}, 'skip': {skip}, {counts}, 'line': '', 'nxt': '', 'key': '', 'rule': 0}}"
+
+
+_ROW = "{'kept': []::VARCHAR[], 'last': '', 'skip': false, " + ", ".join(f"'{n}': 0::BIGINT" for n in _N) + ", 'line': line, 'nxt': nxt, 'key': key, 'rule': rule}"
+_FIRST = _ROW.replace("'line': line, 'nxt': nxt, 'key': key, 'rule': rule", "'line': '', 'nxt': '', 'key': '', 'rule': 0")
+_JOINED = "(left(x.line, length(x.line) - 1) || x.nxt)"
+_PAR = "{{'parts': {parts}, 'open': {open}, 'joined': {joined}, 'x': ''}}"
+_CLOSED = "(CASE WHEN a.open = '' THEN a.parts ELSE list_append(a.parts, a.open) END)"
+SQL_CLEAN = f"""{SQL_KEYS},
+l1 AS (SELECT record_id, page, no, {sql_strip('raw')} AS line, {sql_canonical('raw')} AS key FROM (SELECT record_id, page, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM p)),
+l2 AS (SELECT *, lead(line, 1, '') OVER (PARTITION BY record_id, page ORDER BY no) AS nxt FROM l1),
+l3 AS (SELECT l2.*, CASE WHEN line = '' THEN 0 WHEN rep.key IS NOT NULL THEN 1 WHEN {sql_artifact('line')} THEN 2 WHEN {sql_low_value('line')} THEN 3 ELSE 9 END AS rule
+  FROM l2 LEFT JOIN rep ON rep.record_id = l2.record_id AND rep.key = l2.key),
+f AS (SELECT record_id, page, list_reduce(list_prepend({_FIRST}, list({_ROW} ORDER BY no)), lambda a, x: CASE
+  WHEN a.skip THEN {_sql_state('a.kept', 'a.last', 'false')}
+  WHEN x.rule = 0 THEN {_sql_state("list_append(a.kept, '')", "''", 'false')}
+  WHEN x.rule = 1 THEN {_sql_state('a.kept', 'a.last', 'false', 1)}
+  WHEN x.rule = 2 THEN {_sql_state('a.kept', 'a.last', 'false', 2)}
+  WHEN x.rule = 3 THEN {_sql_state('a.kept', 'a.last', 'false', 3)}
+  WHEN a.last <> '' AND a.last = x.key THEN {_sql_state('a.kept', 'a.last', 'false', 4)}
+  WHEN x.line LIKE '%-' AND regexp_matches(x.nxt, '^\\p{{Ll}}') THEN {_sql_state(f'list_append(a.kept, {_JOINED})', sql_canonical(_JOINED), 'true', 5)}
+  ELSE {_sql_state('list_append(a.kept, x.line)', 'x.key', 'false')} END) AS s FROM l3 GROUP BY record_id, page),
+g AS (SELECT record_id, page, s, list_reduce(list_prepend({_PAR.format(parts="[]::VARCHAR[]", open="''", joined="0::BIGINT")}, list_transform(s.kept, lambda k: {{'parts': []::VARCHAR[], 'open': '', 'joined': 0::BIGINT, 'x': k}})), lambda a, x: CASE
+  WHEN x.x = '' THEN {_PAR.format(parts=_CLOSED, open="''", joined="a.joined")}
+  WHEN a.open = '' THEN {_PAR.format(parts="a.parts", open="x.x", joined="a.joined")}
+  WHEN {sql_joins('a.open', 'x.x')} THEN {_PAR.format(parts="a.parts", open="a.open || ' ' || x.x", joined="a.joined + 1")}
+  ELSE {_PAR.format(parts=_CLOSED, open="x.x", joined="a.joined")} END) AS q FROM f),
+cleaned AS (SELECT record_id, page, {sql_strip("array_to_string(CASE WHEN q.open = '' THEN q.parts ELSE list_append(q.parts, q.open) END, chr(10) || chr(10))")} AS clean_text,
+  s.n1 AS {L.ACTIONS[0]}, s.n2 AS {L.ACTIONS[1]}, s.n3 AS {L.ACTIONS[2]}, s.n4 AS {L.ACTIONS[3]}, s.n5 AS {L.ACTIONS[4]}, q.joined AS {L.ACTIONS[5]} FROM g)
+"""
+SQL_CLEAN_STORED = f"WITH {SQL_CLEAN} SELECT record_id, page, length(clean_text) AS clean_chars, md5(clean_text) AS clean_md5, {', '.join(L.ACTIONS)} FROM cleaned"
+
+
 def q_cleaning_actions(spark: SparkSession, d: str) -> DataFrame:
     """What cleaning did to each page, by action."""
     return L.cleaned(pages(spark, d)).select("record_id", "page", *L.ACTIONS)
 
 
+CURATED = ("record_id", "page", "source", "raw_text_chars", "clean_text_chars", "quality", "include_in_default_rag", *T.STATS, *L.ACTIONS, "readable_page_path", "verbatim_page_path")
+
+
 def q_curated_pages(spark: SparkSession, d: str) -> DataFrame:
     """The table of curated pages."""
-    return curated(spark, d).select("record_id", "page", "source", F.col("final_text_chars").alias("raw_text_chars"), "clean_text_chars", "quality", "include_in_default_rag", *STATS.split(", "), *L.ACTIONS)
+    return K.curated_pages(pages(spark, d)).select(*CURATED)
+
+
+def q_curated_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The table of curated pages, by text as it is stored."""
+    return K.curated_pages(pages(spark, d, compatible=False)).select(*CURATED)
+
+
+def sql_quality(raw: str, text: str, removed: str) -> str:
+    return f"""CASE WHEN {raw} = 0 OR length({text}) = 0 THEN 'empty'
+  WHEN length({text}) < 320 AND sentence_like_blocks = 0 AND alpha_word_count < 28 THEN 'needs_review'
+  WHEN natural_language_score < 0.18::DOUBLE AND sentence_like_blocks = 0 THEN 'needs_review'
+  WHEN length({text})::DOUBLE / {raw} < 0.18::DOUBLE OR {removed} > 40 THEN 'needs_review'
+  WHEN length({text})::DOUBLE / {raw} < 0.45::DOUBLE THEN 'aggressive_cleanup' ELSE 'clean' END"""
+
+
+def sql_default(text: str) -> str:
+    return f"""CASE WHEN quality IN ('empty', 'needs_review') OR length({text}) < 180 THEN false
+  WHEN regexp_matches({text}, '{sql_word(Q.SUBJECT)}') THEN natural_language_score >= 0.28::DOUBLE AND alpha_word_count >= 12
+  ELSE sentence_like_blocks >= 1 OR (natural_language_score >= 0.32::DOUBLE AND alpha_word_count >= 80) END"""
+
+
+def sql_safe(e: str) -> str:
+    return f"coalesce(nullif(regexp_replace(regexp_replace({e}, '[^A-Za-z0-9_.-]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'untitled')"
+
+
+_REMOVED = "(" + " + ".join(L.ACTIONS[:4]) + ")"
+SQL_CURATED = f"""{SQL_CLEAN},
+c0 AS (SELECT cleaned.*, p.source, p.title, coalesce(p.final_text_chars, 0) AS raw_text_chars, {sql_stats('clean_text')} FROM cleaned JOIN p ON p.record_id = cleaned.record_id AND p.page = cleaned.page),
+c1 AS (SELECT *, length(clean_text) AS clean_text_chars, {sql_quality('raw_text_chars', 'clean_text', _REMOVED)} AS quality FROM c0),
+curated AS (SELECT *, {sql_default('clean_text')} AS include_in_default_rag, '{K.READABLE_PAGES}' || {sql_safe('record_id')} || printf('/page_%04d', page) || '.md' AS readable_page_path,
+  '{K.VERBATIM_PAGES}' || {sql_safe('record_id')} || printf('/page_%04d', page) || '.txt' AS verbatim_page_path FROM c1)
+"""
+SQL_CURATED_STORED = f"WITH {SQL_CURATED} SELECT {', '.join(CURATED)} FROM curated"
 
 
 def q_curated_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Chunks of curated pages; quality and flag are the page's."""
-    df = C.chunked(curated(spark, d).select("record_id", "page", "source", "quality", "include_in_default_rag", "clean_text"), "clean_text")
-    df = _stats(df, "chunk").withColumn("chunk_id", F.concat(F.col("record_id"), F.format_string(":p%04d:c%03d", "page", "chunk_no")))
-    return df.withColumn("text_chars", F.length("chunk").cast("bigint")).withColumnRenamed("chunk", "text").drop("chunk_no")
+    return K.curated_chunks(curated(spark, d))
+
+
+def q_chunks_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of curated pages by text as it is stored, with digests for texts."""
+    return K.curated_chunks(curated(spark, d, compatible=False)).withColumn("text", F.md5("text"))
+
+
+SQL_CURATED_CHUNKS = SQL_CURATED + ", " + sql_chunks("record_id, page, title, source, quality, include_in_default_rag, readable_page_path, verbatim_page_path", "clean_text", "curated")
+SQL_CHUNKS_STORED = f"""WITH {SQL_CURATED_CHUNKS}
+SELECT record_id || printf(':p%04d:c%03d', page, chunk_no) AS chunk_id, record_id, title, page, source, quality, include_in_default_rag, readable_page_path, verbatim_page_path, md5(chunk) AS text, length(chunk) AS text_chars, {sql_stats('chunk')} FROM chunked"""
+
+
+def curated_documents(spark: SparkSession, d: str, compatible: bool = True) -> DataFrame:
+    """Documents of the curated layer, with the titles of both record tables."""
+    titles = [read_table(spark, d, t).where("id is not null").select("id", "title") for t in ("pdf_records", "image_records")]
+    return K.curated_documents(curated(spark, d, compatible), titles[0].unionByName(titles[1]).groupBy("id").agg(F.min("title").alias("title")))
+
+
+def q_curated_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Curated documents by text as it is stored; the counts by quality as JSON."""
+    return curated_documents(spark, d, compatible=False).withColumn("quality_counts", F.to_json("quality_counts"))
+
+
+SQL_DOCUMENTS = f"""{SQL_CURATED},
+qc AS (SELECT record_id, quality, count(*) AS n, sum(raw_text_chars) AS r, sum(clean_text_chars) AS c FROM curated GROUP BY record_id, quality),
+ti AS (SELECT id, min(title) AS title FROM (SELECT id, title FROM pdf_records UNION ALL SELECT id, title FROM image_records) WHERE id IS NOT NULL GROUP BY id),
+docs AS (SELECT qc.record_id, coalesce(nullif(any_value(ti.title), ''), qc.record_id) AS title, CAST(sum(n) AS BIGINT) AS pages, CAST(sum(r) AS BIGINT) AS raw_text_chars, CAST(sum(c) AS BIGINT) AS clean_text_chars,
+  '{{' || string_agg('"' || quality || '":' || n, ',' ORDER BY quality) || '}}' AS quality_counts, '{K.READABLE_DOCUMENTS}' || {sql_safe('qc.record_id')} || '.md' AS readable_doc_path
+  FROM qc LEFT JOIN ti ON ti.id = qc.record_id GROUP BY qc.record_id)
+"""
+
+
+def q_readable_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of the page sections of readable documents, by text as it is stored."""
+    return K.readable_sections(curated(spark, d, compatible=False)).select("record_id", "page", F.md5("section").alias("section_md5"))
+
+
+SQL_SECTIONS = f"""WITH {SQL_CURATED} SELECT record_id, page, md5(chr(10) || '## Page ' || page || ' (' || source || ')' || chr(10) || chr(10) || clean_text || chr(10)) AS section_md5 FROM curated WHERE clean_text <> ''"""
+
+
+def q_curated_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of the curated layer, by text as it is stored."""
+    c = curated(spark, d, compatible=False)
+    return K.totals(c, K.curated_chunks(c))
+
+
+SQL_TOTALS_CURATED = f"""WITH {SQL_CURATED_CHUNKS} SELECT count(DISTINCT record_id) AS documents, count(*) AS pages, CAST(sum(raw_text_chars) AS BIGINT) AS raw_text_chars, CAST(sum(clean_text_chars) AS BIGINT) AS clean_text_chars,
+(SELECT count(*) FROM chunked) AS chunks, (SELECT count(*) FROM chunked WHERE include_in_default_rag) AS default_chunks, (SELECT count(*) FROM chunked WHERE NOT include_in_default_rag) AS excluded_chunks FROM curated"""
 
 
 # --- statistics and quality -------------------------------------------------------------------
@@ -259,14 +429,8 @@ def _rated(spark: SparkSession, d: str) -> DataFrame:
 SQL_RATED = f"""
 b AS (SELECT doc_id, source, coalesce(n_chars, 0) AS raw, {sql_strip("coalesce(text, '')")} AS text FROM documents),
 st AS (SELECT *, {sql_stats('text')} FROM b),
-r AS (SELECT *, CASE WHEN raw = 0 OR length(text) = 0 THEN 'empty'
-  WHEN length(text) < 320 AND sentence_like_blocks = 0 AND alpha_word_count < 28 THEN 'needs_review'
-  WHEN natural_language_score < 0.18::DOUBLE AND sentence_like_blocks = 0 THEN 'needs_review'
-  WHEN length(text)::DOUBLE / raw < 0.18::DOUBLE THEN 'needs_review'
-  WHEN length(text)::DOUBLE / raw < 0.45::DOUBLE THEN 'aggressive_cleanup' ELSE 'clean' END AS quality FROM st),
-rated AS (SELECT *, CASE WHEN quality IN ('empty', 'needs_review') OR length(text) < 180 THEN false
-  WHEN regexp_matches(text, '{sql_word(Q.SUBJECT)}') THEN natural_language_score >= 0.28::DOUBLE AND alpha_word_count >= 12
-  ELSE sentence_like_blocks >= 1 OR (natural_language_score >= 0.32::DOUBLE AND alpha_word_count >= 80) END AS include_in_default_rag FROM r)
+r AS (SELECT *, {sql_quality('raw', 'text', '0')} AS quality FROM st),
+rated AS (SELECT *, {sql_default('text')} AS include_in_default_rag FROM r)
 """
 
 
@@ -294,12 +458,11 @@ def q_quality_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q_doc_rollup(spark: SparkSession, d: str) -> DataFrame:
     """Pages and characters of each record of final_pages."""
-    df = read_table(spark, d, "final_pages").where("record_id is not null").dropDuplicates(["record_id", "page"])
-    return M.document_totals(df)
+    return M.document_totals(page_rows(spark, d))
 
 
 SQL_DOC_ROLLUP = """SELECT record_id, count(*) AS pages, CAST(sum(embedded_text_chars) AS BIGINT) AS embedded_text_chars, CAST(sum(ocr_text_chars) AS BIGINT) AS ocr_text_chars,
-CAST(sum(final_text_chars) AS BIGINT) AS final_text_chars FROM (SELECT DISTINCT record_id, page, embedded_text_chars, ocr_text_chars, final_text_chars FROM final_pages WHERE record_id IS NOT NULL) GROUP BY record_id"""
+CAST(sum(final_text_chars) AS BIGINT) AS final_text_chars FROM (SELECT DISTINCT record_id, page, embedded_text_chars, ocr_text_chars, final_text_chars FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL) GROUP BY record_id"""
 
 
 def q_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -442,6 +605,14 @@ PAIRS: dict[str, tuple] = {
     "q_canonical_line": (q_canonical_line, None),
     "q_repeated_lines": (q_repeated_lines, SQL_REPEATED),
     "q_boilerplate_threshold": (q_boilerplate_threshold, SQL_THRESHOLD),
+    "q_tidy": (q_tidy, f"WITH {SQL_PAGES} SELECT record_id, page, length(text) AS chars, md5(text) AS text_md5 FROM p"),
+    "q_canonical_stored": (q_canonical_stored, SQL_CANONICAL),
+    "q_clean_stored": (q_clean_stored, SQL_CLEAN_STORED),
+    "q_curated_stored": (q_curated_stored, SQL_CURATED_STORED),
+    "q_chunks_stored": (q_chunks_stored, SQL_CHUNKS_STORED),
+    "q_curated_documents": (q_curated_documents, f"WITH {SQL_DOCUMENTS} SELECT * FROM docs"),
+    "q_readable_sections": (q_readable_sections, SQL_SECTIONS),
+    "q_curated_totals": (q_curated_totals, SQL_TOTALS_CURATED),
     "q_clean_page": (q_clean_page, None),
     "q_cleaning_actions": (q_cleaning_actions, None),
     "q_curated_pages": (q_curated_pages, None),

@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -63,6 +64,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of so many short rows at most are broadcast, larger ones are joined by shuffling.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored table for a join: broadcast if it has BROADCAST_ROWS rows at most, joined by shuffling otherwise."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
