@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.text import strip
@@ -35,14 +35,31 @@ def merged(pages: DataFrame, ocr: DataFrame) -> DataFrame:
     return df.select("record_id", "page", source.alias("source"), *lengths, text.alias("final_text"))
 
 
+def _below_header() -> Column:
+    return F.concat(F.format_string(PAGE, "page", "source"), F.col("final_text"))
+
+
 def document_texts(pages: DataFrame) -> DataFrame:
-    """(record_id, text): a record's non-empty pages in order, each below its header."""
-    part = F.struct("page", F.concat(F.format_string(PAGE, "page", "source"), F.col("final_text")).alias("t"))
+    """(record_id, text): a record's non-empty pages in order, each below its header, as one cell.
+
+    For records whose text fits a cell (2 GB); `document_offsets` is the form for any size.
+    """
+    part = F.struct("page", _below_header().alias("t"))
     parts = F.array_sort(F.collect_list(F.when(F.col("final_text") != "", part)))
     text = F.array_join(F.transform(parts, lambda x: x["t"]), "")
     return pages.groupBy("record_id").agg(strip(text).alias("text"))
 
 
+def document_offsets(pages: DataFrame) -> DataFrame:
+    """(record_id, page, from_char, chars): the place of every non-empty page with its header in its record's text before stripping.
+
+    Texts stay with their pages; the running sum sorts two numbers a page, and a hot record's rows spill.
+    """
+    rows = pages.where("final_text <> ''").select("record_id", "page", F.length(_below_header()).cast("bigint").alias("chars"))
+    before = Window.partitionBy("record_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("from_char", F.coalesce(F.sum("chars").over(before), F.lit(0).cast("bigint"))).select("record_id", "page", "from_char", "chars")
+
+
 def document_totals(pages: DataFrame) -> DataFrame:
     """Pages and characters of each record."""
     sums = [F.sum(c).alias(c) for c in ("embedded_text_chars", "ocr_text_chars", "final_text_chars")]

@@ -535,19 +535,88 @@ SQL_RESUME = """SELECT DISTINCT record_id, page FROM final_pages p WHERE record_
 AND NOT EXISTS (SELECT 1 FROM ocr_pages o WHERE o.record_id = p.record_id AND o.page = p.page AND o.status = 'ok')"""
 
 
+def _images(spark: SparkSession, d: str) -> DataFrame:
+    """Page images known from the log; the log has no sides, so both counts of characters stand for width and height."""
+    log = read_table(spark, d, "ocr_pages").where("record_id is not null and page is not null and image_path is not null")
+    return log.select("record_id", "page", "image_path", F.col("source_text_chars").alias("width"), F.col("ocr_text_chars").alias("height"), "ordinal")
+
+
+def _best_images(spark: SparkSession, d: str) -> DataFrame:
+    return O.best_image(_images(spark, d), ["record_id", "page"], "width", "height", ["ordinal"])
+
+
+SQL_BEST_IMAGE = """best AS (SELECT record_id, page, image_path, ordinal, area FROM (SELECT *, coalesce(source_text_chars, 0) * coalesce(ocr_text_chars, 0) AS area,
+row_number() OVER (PARTITION BY record_id, page ORDER BY coalesce(source_text_chars, 0) * coalesce(ocr_text_chars, 0) DESC, ordinal) AS r
+FROM ocr_pages WHERE record_id IS NOT NULL AND page IS NOT NULL AND image_path IS NOT NULL) WHERE r = 1)"""
+
+
+def q_best_image(spark: SparkSession, d: str) -> DataFrame:
+    """The image of the largest area of each page, the first logged of equal ones."""
+    return _best_images(spark, d).select("record_id", "page", "image_path", "ordinal", "area")
+
+
 def q_ocr_jobs(spark: SparkSession, d: str) -> DataFrame:
-    """Pages with little embedded text and an image that still wait for recognition."""
-    p = read_table(spark, d, "final_pages").where("record_id is not null and page is not null").select("record_id", "page", F.col("embedded_text_chars").alias("text_chars")).distinct()
-    log = read_table(spark, d, "ocr_pages")
-    images = log.where("image_path is not null").groupBy("record_id", "page").agg(F.min("image_path").alias("image_path"))
-    return O.jobs(p, images, log).select("record_id", "page", F.coalesce("text_chars", F.lit(0)).alias("source_text_chars"), "image_path")
+    """Pages with little embedded text that still wait for recognition, with their best image."""
+    p = page_rows(spark, d).select("record_id", "page", F.col("embedded_text_chars").alias("text_chars"))
+    images = _best_images(spark, d).select("record_id", "page", "image_path")
+    return O.jobs(p, images, read_table(spark, d, "ocr_pages")).select("record_id", "page", F.coalesce("text_chars", F.lit(0)).alias("source_text_chars"), "image_path")
 
 
-SQL_JOBS = """SELECT p.record_id, p.page, coalesce(p.c, 0) AS source_text_chars, i.image_path FROM (SELECT DISTINCT record_id, page, embedded_text_chars AS c FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL) p
-JOIN (SELECT record_id, page, min(image_path) AS image_path FROM ocr_pages WHERE image_path IS NOT NULL GROUP BY record_id, page) i ON i.record_id = p.record_id AND i.page = p.page
+SQL_JOBS = f"""WITH {SQL_BEST_IMAGE} SELECT p.record_id, p.page, coalesce(p.c, 0) AS source_text_chars, i.image_path FROM (SELECT DISTINCT record_id, page, embedded_text_chars AS c FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL) p
+JOIN best i ON i.record_id = p.record_id AND i.page = p.page
 WHERE coalesce(p.c, 0) <= 20 AND NOT EXISTS (SELECT 1 FROM ocr_pages o WHERE o.record_id = p.record_id AND o.page = p.page AND o.status = 'ok')"""
 
 
+def q_image_ordinals(spark: SparkSession, d: str) -> DataFrame:
+    """The different images of each page, numbered from 1 in the order of their paths."""
+    paths = _images(spark, d).groupBy("record_id", "page").agg(F.array_sort(F.collect_set("image_path")).alias("paths"))
+    return paths.select("record_id", "page", F.posexplode("paths").alias("i", "path")).select("record_id", "page", (F.col("i") + 1).cast("bigint").alias("image_index"), "path")
+
+
+SQL_IMAGE_ORDINALS = """SELECT record_id, page, row_number() OVER (PARTITION BY record_id, page ORDER BY image_path) AS image_index, image_path AS path
+FROM (SELECT DISTINCT record_id, page, image_path FROM ocr_pages WHERE record_id IS NOT NULL AND page IS NOT NULL AND image_path IS NOT NULL)"""
+
+
+def q_render_needed(spark: SparkSession, d: str) -> DataFrame:
+    """Pages without embedded text and without any image."""
+    n = _images(spark, d).groupBy("record_id", "page").agg(F.countDistinct("image_path").alias("images"))
+    p = page_rows(spark, d).select("record_id", "page", "embedded_text_chars").join(n, ["record_id", "page"], "left")
+    return p.where(O.render_needed(True, F.col("embedded_text_chars"), F.col("images"))).select("record_id", "page")
+
+
+SQL_RENDER = """SELECT DISTINCT record_id, page FROM final_pages p WHERE record_id IS NOT NULL AND page IS NOT NULL AND coalesce(embedded_text_chars, 0) = 0
+AND NOT EXISTS (SELECT 1 FROM ocr_pages o WHERE o.record_id = p.record_id AND o.page = p.page AND o.image_path IS NOT NULL)"""
+
+
+def q_image_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Mean confidence of each image over what was read of it."""
+    return O.image_confidence(read_table(spark, d, "ocr_results").where("path is not null")).select("path", F.round("confidence", 6).alias("confidence"))
+
+
+SQL_CONFIDENCE = "SELECT path, round(coalesce(avg(confidence) FILTER (WHERE NOT isnan(confidence)), 0), 6) AS confidence FROM ocr_results WHERE path IS NOT NULL GROUP BY path"
+
+
+def q_batch_results(spark: SparkSession, d: str) -> DataFrame:
+    """Every result with the page of the last logged job of its image."""
+    jobs = _images(spark, d).select("image_path", "record_id", "page", "ordinal")
+    results = read_table(spark, d, "ocr_results").select(F.col("path").alias("image_path"), "result_id", "status")
+    return O.matched(results, jobs)
+
+
+SQL_BATCH = """SELECT r.path AS image_path, j.record_id, j.page, r.result_id, r.status FROM ocr_results r JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_path ORDER BY ordinal DESC) AS n
+FROM ocr_pages WHERE record_id IS NOT NULL AND page IS NOT NULL AND image_path IS NOT NULL) WHERE n = 1) j ON j.image_path = r.path"""
+
+
+def q_extraction_reuse(spark: SparkSession, d: str) -> DataFrame:
+    """Which PDF records an earlier run has done: those with a good log entry and a merged page."""
+    r = read_table(spark, d, "pdf_records").where("id is not null").select("id").distinct()
+    texts = read_table(spark, d, "ocr_pages").where("status = 'ok'").select(F.col("record_id").alias("id"))
+    return O.reused(r, texts, read_table(spark, d, "final_pages").select(F.col("record_id").alias("id"))).select("id", "reused")
+
+
+SQL_REUSE = """SELECT DISTINCT id, id IN (SELECT record_id FROM ocr_pages WHERE status = 'ok' AND record_id IS NOT NULL) AND id IN (SELECT record_id FROM final_pages WHERE record_id IS NOT NULL) AS reused FROM pdf_records WHERE id IS NOT NULL"""
+
+
 def q_ocr_doc_summary(spark: SparkSession, d: str) -> DataFrame:
     """Log entries, characters and mean confidence of each record."""
     df = O.document_summary(read_table(spark, d, "ocr_pages"))
@@ -558,15 +627,13 @@ SQL_OCR_SUMMARY = """SELECT record_id, count(*) AS ocr_pages, CAST(sum(coalesce(
 round(avg(CASE WHEN confidence IS NULL OR isnan(confidence) THEN 0 ELSE confidence END), 6) AS average_confidence FROM ocr_pages GROUP BY record_id"""
 
 
-def q_best_image(spark: SparkSession, d: str) -> DataFrame:
-    """The lineitem of the largest area (quantity by price) of each order and line, ties by all columns."""
-    df = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey", "l_suppkey")
-    best = O.best_image(df, ["l_orderkey", "l_linenumber"], "l_quantity", "l_extendedprice", ["l_partkey", "l_suppkey"])
-    return best.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "area")
+def q_doc_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Where each page of a merged document begins: (record_id, page, from_char, chars)."""
+    return M.document_offsets(_layers(spark, d))
 
 
-SQL_BEST = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, area FROM (SELECT *, coalesce(l_quantity, 0) * coalesce(l_extendedprice, 0) AS area,
-row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY coalesce(l_quantity, 0) * coalesce(l_extendedprice, 0) DESC, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS r FROM lineitem) WHERE r = 1"""
+SQL_OFFSETS = f"""WITH {SQL_LAYERS}, t AS (SELECT record_id, page, length(chr(10) || chr(10) || '--- Page ' || page || ' [' || source || '] ---' || chr(10) || final_text) AS chars FROM merged WHERE final_text <> '')
+SELECT record_id, page, coalesce(CAST(sum(chars) OVER (PARTITION BY record_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS from_char, chars FROM t"""
 
 
 def q_status_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -575,14 +642,11 @@ def q_status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q_stream_resume(spark: SparkSession, d: str) -> DataFrame:
     """Keys of the log handed on once each by a file stream, as its final state."""
-    import os
-    import tempfile
+    import uuid
 
     from corpusgraph.streaming.resume import stream_new
 
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = f"{shared}/stream-{os.getpid()}-{spark.sparkContext.applicationId}-{abs(hash(d))}" if shared else tempfile.mkdtemp(prefix="stream-")
-    stamp = f"{base}/{spark._jvm.java.util.UUID.randomUUID()}"
+    stamp = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = read_table(spark, d, "ocr_pages").schema
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -630,7 +694,13 @@ PAIRS: dict[str, tuple] = {
     "q_resume_anti": (q_resume_anti, SQL_RESUME),
     "q_ocr_jobs": (q_ocr_jobs, SQL_JOBS),
     "q_ocr_doc_summary": (q_ocr_doc_summary, SQL_OCR_SUMMARY),
-    "q_best_image": (q_best_image, SQL_BEST),
+    "q_best_image": (q_best_image, f"WITH {SQL_BEST_IMAGE} SELECT * FROM best"),
+    "q_image_ordinals": (q_image_ordinals, SQL_IMAGE_ORDINALS),
+    "q_render_needed": (q_render_needed, SQL_RENDER),
+    "q_image_confidence": (q_image_confidence, SQL_CONFIDENCE),
+    "q_batch_results": (q_batch_results, SQL_BATCH),
+    "q_extraction_reuse": (q_extraction_reuse, SQL_REUSE),
+    "q_doc_offsets": (q_doc_offsets, SQL_OFFSETS),
     "q_status_counts": (q_status_counts, "SELECT status, count(*) AS n FROM ocr_pages GROUP BY status"),
     "q_stream_resume": (q_stream_resume, SQL_STREAM),
 }
