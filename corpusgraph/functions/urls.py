@@ -26,6 +26,11 @@ def last_segment(url: Column) -> Column:
     return F.coalesce(decoded, name)
 
 
+def raw_segment(url: Column) -> Column:
+    """The last segment of an address as it is written, with query and escapes: the name of a thumbnail's file."""
+    return F.regexp_extract(url, r"([^/]+)/*$", 1)
+
+
 def basename(url: Column, title: Column, kind: Column, index: Column) -> Column:
     """File name of a URL, or one made of the title, or of the record's number."""
     name = last_segment(url)

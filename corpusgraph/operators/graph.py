@@ -50,33 +50,43 @@ def edges(records: DataFrame) -> DataFrame:
     return out.select("source", "target", "relation", F.col("id").alias("ord"), "place")
 
 
+#: What a record node has of its record, and of the layers of its text where `records` has them.
+RECORD_TEXTS = ("kind", "agency", "incident_date", "incident_location", "source_url", "description", "thumbnail_url", "local_path")
+LAYERS = ("extraction_status", "page_count", "text_chars", "ocr_text_chars", "final_text_chars", "final_text_path", "clean_text_chars", "readable_doc_path", "quality_counts", "image_count")
+
+
 def nodes(records: DataFrame) -> DataFrame:
     """One row per node: attributes are merged by the first value that isn't blank, in the order of record ids.
 
-    A hot agency or release is one hash-aggregation key with map-side combine, not a group in a task.
+    Ids are unique, so a record's node is its row. The other nodes are merged by an aggregation with
+    map-side combine, so a hot agency or release is no group in a task.
     """
+    k = keyed(records)
+    given = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
+    own = [given(c) for c in RECORD_TEXTS if c in records.columns]
+    layers = [c for c in LAYERS if c in records.columns]
+    record = k.select(F.col("record_node").alias("id"), F.lit("record").alias("type"), F.nullif(F.col("title"), F.lit("")).alias("label"), *own, *layers)
+
     null = F.lit(None).cast("string")
-    attributes = ("label", "kind", "agency", "incident_date", "incident_location", "source_url", "description")
 
-    def node(id_: str, type_: str, place: int, **values: Column) -> Column:
-        cells = [values.get(a, null).alias(a) for a in attributes]
-        return F.struct(F.col(id_).alias("node_id"), F.lit(type_).alias("type"), F.lit(place).alias("place"), *cells)
+    def node(id_: str, type_: str, place: int, label: Column, date: Column = null, event_date: Column = null, location: Column = null) -> Column:
+        return F.struct(F.col(id_).alias("id"), F.lit(type_).alias("type"), F.lit(place).alias("place"), label.alias("label"), date.alias("date"), event_date.alias("incident_date"), location.alias("incident_location"))
 
     rows = F.array(
-        node("release_node", "release", 0, label=F.col("release")),
-        node("record_node", "record", 1, label=F.col("title"), kind=F.col("kind"), agency=F.col("agency"), incident_date=F.col("incident_date"), incident_location=F.col("incident_location"), source_url=F.col("source_url"), description=F.col("description")),
-        node("agency_node", "agency", 2, label=F.coalesce(F.nullif(F.col("agency"), F.lit("")), F.lit("Unknown agency"))),
-        node("location_node", "location", 3, label=F.col("incident_location")),
-        node("date_node", "date", 4, label=F.col("incident_date")),
-        node("event_node", "event", 5, label=F.col("event_label"), incident_date=F.col("incident_date"), incident_location=F.col("incident_location")),
-        node("pdf_node", "pairing", 6, label=F.col("pdf_pairing")),
-        node("video_node", "pairing", 7, label=F.col("video_pairing")),
+        node("release_node", "release", 0, F.col("release"), date=F.col("release_date") if "release_date" in records.columns else null),
+        node("agency_node", "agency", 2, F.coalesce(F.nullif(F.col("agency"), F.lit("")), F.lit("Unknown agency"))),
+        node("location_node", "location", 3, F.col("incident_location")),
+        node("date_node", "date", 4, F.col("incident_date")),
+        node("event_node", "event", 5, F.col("event_label"), event_date=F.col("incident_date"), location=F.col("incident_location")),
+        node("pdf_node", "pairing", 6, F.col("pdf_pairing")),
+        node("video_node", "pairing", 7, F.col("video_pairing")),
     )
-    flat = keyed(records).select(F.col("id").alias("ord"), F.inline(rows)).where("node_id is not null")
+    flat = k.select(F.col("id").alias("ord"), F.inline(rows)).where("id is not null")
     order = F.struct("ord", "place")
-    first = [F.min(F.when(F.coalesce(F.col(a), F.lit("")) != "", F.struct(order.alias("o"), F.col(a).alias("v"))))["v"].alias(a) for a in attributes]
-    out = flat.groupBy("node_id", "type").agg(*first, F.sum(F.when(F.col("type") == "event", 1)).alias("record_count"))
-    return out.withColumnRenamed("node_id", "id")
+    merged = ("label", "date", "incident_date", "incident_location")
+    first = [F.min(F.when(F.coalesce(F.col(a), F.lit("")) != "", F.struct(order.alias("o"), F.col(a).alias("v"))))["v"].alias(a) for a in merged]
+    others = flat.groupBy("id", "type").agg(*first, F.sum(F.when(F.col("type") == "event", 1)).alias("record_count"))
+    return record.unionByName(others, allowMissingColumns=True)
 
 
 def degrees(edges_: DataFrame) -> DataFrame:

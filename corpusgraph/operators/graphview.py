@@ -6,9 +6,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.operators.manifest import with_ordinal
 from corpusgraph.session import checkpoint
 
 SEARCH_FIELDS = ("id", "label", "type", "kind", "agency", "incident_date", "incident_location", "description")
@@ -37,6 +38,10 @@ HOMES, OTHER_HOME = {"record": 0.009, "event": 0.009}, 0.007
 DAMPING, MOST_SPEED, COOLING, REST = 0.78, 18.0, 0.987, 0.015
 
 
+# The node types of the viewer's two preset views.
+PRESETS = {"records": ("release", "agency", "record", "pairing"), "events": ("release", "event", "date", "location", "record")}
+
+
 def matches(term: str, fields: tuple[str, ...] = SEARCH_FIELDS) -> Column:
     """Whether any field holds the term, in any case."""
     out = F.lit(False)
@@ -70,14 +75,21 @@ def highlighted(edges: DataFrame, active: DataFrame) -> DataFrame:
     return neighbours(edges, active).select(F.col("other").alias("id")).distinct()
 
 
+def top_neighbours(edges: DataFrame, nodes: DataFrame, degrees: DataFrame, active: DataFrame, most: int = 10) -> DataFrame:
+    """(id, type, label, degree): the first `most` neighbours of the active nodes by degree, then label and id; parallel edges repeat them."""
+    near = neighbours(edges, active).select(F.col("other").alias("id"))
+    rows = near.join(nodes.select("id", "type", F.coalesce("label", F.lit("")).alias("label")), "id").join(degrees.select("id", "degree"), "id")
+    return rows.orderBy(F.desc("degree"), "label", "id").limit(most)
+
+
 def layout_ranks(nodes: DataFrame) -> DataFrame:
     """nodes (id, type, label, degree) with their place within the type, by degree and label, and the type's size.
 
-    The rank is exact and by type; a type with very many nodes is one sort of a window partition.
+    All nodes are numbered by ranges in the order of their types; a type's places count from its first.
     """
-    w = Window.partitionBy("type").orderBy(F.desc("degree"), "label", "id")
-    sizes = nodes.groupBy("type").agg(F.count(F.lit(1)).alias("layout_count"))
-    return nodes.withColumn("layout_index", (F.row_number().over(w) - 1).cast("bigint")).join(F.broadcast(sizes), "type")
+    ranked = with_ordinal(nodes, ["type", F.desc("degree"), "label", "id"], "_n")
+    types = ranked.groupBy("type").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("layout_count"))
+    return ranked.join(F.broadcast(types), "type").withColumn("layout_index", F.col("_n") - F.col("_first")).drop("_n", "_first")
 
 
 def _by(column: Column, table: dict, other: object) -> Column:
@@ -137,19 +149,41 @@ def _cells(points: DataFrame, side: float, suffix: str, around: bool) -> DataFra
     return out.select("*", F.inline(steps)).withColumn("cx", F.col("cx") + F.col("sx")).withColumn("cy", F.col("cy") + F.col("sy")).drop("sx", "sy")
 
 
+def push_forces(points: DataFrame, alpha: float, tile: int = 2_000_000) -> DataFrame:
+    """(id, fx, fy): how far the other points in reach push each point (id string, x, y, r).
+
+    A point goes to the nine squares as wide as the reach about its own; a square works out the
+    forces on its own points in tiles of so many pairs. Points at one place don't push each other.
+    """
+    side = math.sqrt(REACH2)
+    own = (F.col("cx") == F.floor(F.col("x") / side)) & (F.col("cy") == F.floor(F.col("y") / side))
+    p = _cells(points.select("id", "x", "y", "r"), side, "", True).withColumn("own", own).withColumn("id", F.when(F.col("own"), F.col("id")))
+
+    def forces(t: pa.Table) -> pa.Table:
+        x, y, r, mine = (t.column(c).to_numpy() for c in ("x", "y", "r", "own"))
+        at = np.flatnonzero(mine)
+        out = np.zeros((2, len(at)))
+        step = max(1, tile // max(1, len(x)))
+        for i in range(0, len(at), step):
+            j = at[i : i + step]
+            dx, dy = x[j, None] - x, y[j, None] - y
+            d2 = dx * dx + dy * dy + LIFT
+            d, near = np.sqrt(d2), r[j, None] + r + GAP
+            force = np.minimum(MOST_PUSH, PUSH * alpha / d2) + np.maximum(near - d, 0) * (COLLISION * alpha)
+            force = np.where(d2 <= REACH2, force, 0) / d
+            out[0, i : i + step], out[1, i : i + step] = (dx * force).sum(axis=1), (dy * force).sum(axis=1)
+        return pa.table({"id": t.column("id").filter(t.column("own")).cast(pa.string()), "fx": pa.array(out[0]), "fy": pa.array(out[1])})
+
+    return p.groupBy("cx", "cy").applyInArrow(forces, "id string, fx double, fy double")
+
+
 def force_step(state: DataFrame, edges: DataFrame, alpha: float) -> DataFrame:
     """One step of the layout: state (id, type, degree, home_x, home_y, x, y, vx, vy) to the next.
 
-    Repulsion reaches a fixed distance, so pairs meet through grid cells; edges pull by two
-    equi-joins; all forces are summed by node. A node without any neighbour only moves home.
+    Repulsion reaches a fixed distance and is summed by squares; edges pull by two equi-joins; all
+    forces are summed by node. A node without any neighbour only moves home.
     """
-    p = state.select("id", "x", "y", node_radius(F.col("type"), F.col("degree")).alias("r"))
-    pairs = _cells(p, math.sqrt(REACH2), "_a", False).join(_cells(p, math.sqrt(REACH2), "_b", True), ["cx", "cy"]).where("id_a <> id_b")
-    pairs = pairs.withColumn("dx", F.col("x_a") - F.col("x_b")).withColumn("dy", F.col("y_a") - F.col("y_b"))
-    pairs = pairs.withColumn("d2", F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + F.lit(LIFT)).where(F.col("d2") <= REACH2).withColumn("d", F.sqrt("d2"))
-    near = F.col("r_a") + F.col("r_b") + F.lit(GAP)
-    force = F.least(F.lit(MOST_PUSH), F.lit(PUSH * alpha) / F.col("d2")) + F.when(F.col("d") < near, (near - F.col("d")) * F.lit(COLLISION * alpha)).otherwise(F.lit(0.0))
-    push = pairs.select(F.col("id_a").alias("id"), (F.col("dx") / F.col("d") * force).alias("fx"), (F.col("dy") / F.col("d") * force).alias("fy"))
+    push = push_forces(state.select("id", "x", "y", node_radius(F.col("type"), F.col("degree")).alias("r")), alpha)
 
     at = lambda s: state.select(F.col("id").alias(s), F.col("x").alias(f"x_{s}"), F.col("y").alias(f"y_{s}"))
     e = edges.select("source", "target", "relation").join(at("source"), "source").join(at("target"), "target")

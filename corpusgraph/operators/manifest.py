@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
 from corpusgraph.functions import urls as U
+from corpusgraph.session import stored
 
 # Header names of the release CSV, and the columns they fill.
 CSV_COLUMNS = {
@@ -16,18 +17,18 @@ CSV_COLUMNS = {
 }
 
 
-def with_ordinal(df: DataFrame, by: list[str], name: str = "ordinal", tasks: int = 32) -> DataFrame:
+def with_ordinal(df: DataFrame, by: list[str | Column], name: str = "ordinal", tasks: int = 32) -> DataFrame:
     """`df` with its rank from 1 in the order of `by`, which must be unique, without a global window.
 
-    Rows are sorted by ranges; each range is numbered on its own and shifted by the sizes of those
-    before it, of which there are `tasks`.
+    Rows are sorted by ranges and kept as a table, so that both uses see the same ranges; each range
+    is numbered on its own and shifted by the sizes of those before it, of which there are `tasks`.
     """
     ranged = df.repartitionByRange(tasks, *by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_p", F.shiftright("_id", 33)).withColumn("_i", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    ranged = stored(ranged.withColumn("_p", F.shiftright("_id", 33)).withColumn("_i", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id"))
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # over `tasks` rows
     shifts = sizes.select("_p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    return ranged.join(F.broadcast(shifts), "_p").withColumn(name, F.col("_before") + F.col("_i") + 1).drop("_id", "_p", "_i", "_before")
+    return ranged.join(F.broadcast(shifts), "_p").withColumn(name, F.col("_before") + F.col("_i") + 1).drop("_p", "_i", "_before")
 
 
 def records_from_csv(rows: DataFrame, release: str, prefix: str, repair_base: str, ordinal: str = "ordinal") -> DataFrame:

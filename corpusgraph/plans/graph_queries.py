@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
@@ -10,10 +13,12 @@ from corpusgraph.functions import urls as U
 from corpusgraph.operators import graph as G
 from corpusgraph.operators import graphview as V
 from corpusgraph.operators import manifest as R
+from corpusgraph.operators import ocrplan as O
 from corpusgraph.operators import validate as K
 from corpusgraph.operators.merge import document_totals
-from corpusgraph.plans.corpus_queries import WS, sql_strip
-from corpusgraph.session import read_table
+from corpusgraph.plans.corpus_queries import SQL_BEST_IMAGE, SQL_DOCUMENTS, WS, curated_documents, page_rows, q_ocr_jobs, sql_strip
+from corpusgraph.session import read_table, shared_folder, stored
+from corpusgraph.sources import io, reports
 
 COLUMNS = (
     "id", "release", "release_date", "redaction", "title", "kind", "agency", "incident_date", "incident_location", "description", "source_url", "thumbnail_url",
@@ -153,16 +158,99 @@ def q_distinct_files(spark: SparkSession, d: str) -> DataFrame:
     return records(spark, d).where("local_path <> ''").groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("local_path").alias("files"))
 
 
-def q_download_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """The first 100 by id of the records whose file is to be fetched, as the query's SQL asks; all are in q_download_all."""
-    return R.download_candidates(records(spark, d), 100)
-
-
 def q_download_all(spark: SparkSession, d: str) -> DataFrame:
     """Every record whose file is to be fetched."""
     return R.download_candidates(records(spark, d))
 
 
+def q_fetch_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates whose file is not there, an empty file counting as absent; a record's document stands for its file."""
+    r = records(spark, d)
+    docs = read_table(spark, d, "documents").where("record_id is not null").groupBy(F.col("record_id").alias("id")).agg(F.max("n_chars").alias("bytes"))
+    files = r.select("id", "local_path").join(docs, "id").select("local_path", "bytes")
+    return O.not_fetched(R.download_candidates(r), files, "local_path").select("id", "local_path")
+
+
+def q_thumbnails(spark: SparkSession, d: str) -> DataFrame:
+    """Names of the thumbnails' files."""
+    name = U.raw_segment(F.col("thumbnail_url"))
+    return records(spark, d).select("id", name.alias("name")).where("name <> ''")
+
+
+def q_sorted_files(spark: SparkSession, d: str) -> DataFrame:
+    """The different files of the records, numbered in the order of their paths."""
+    df = records(spark, d).where("local_path <> ''").select("local_path").distinct()
+    return R.with_ordinal(df, ["local_path"]).select("ordinal", "local_path")
+
+
+_ROUND = ("id", "kind", "title", "redaction", "source_url")
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/io-{uuid.uuid4().hex}"
+
+
+def q_io_jsonl(spark: SparkSession, d: str) -> DataFrame:
+    """Records written as JSON lines in two parts, the second appended, and read again."""
+    r, path = stored(records(spark, d).select(*_ROUND)), _folder(spark)
+    io.write_jsonl(r.where("kind = 'PDF'"), path)
+    io.write_jsonl(r.where("coalesce(kind, '') <> 'PDF'"), path, "append")
+    return io.read_jsonl(spark, path, r.schema)
+
+
+def q_io_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Records written as a CSV of two tables with different columns, and read again as strings."""
+    r, path = stored(records(spark, d).select(*_ROUND)), _folder(spark)
+    io.write_csv([r.where("kind = 'PDF'").drop("source_url"), r.where("coalesce(kind, '') <> 'PDF'")], path)
+    got = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return got.select("id", "kind", "title", "redaction", F.when(F.col("kind") != "PDF", F.col("source_url")).alias("source_url"))
+
+
+def q_io_release(spark: SparkSession, d: str) -> DataFrame:
+    """Records written as a release's CSV, read and made records again; the number in the file is not their id."""
+    r, path = stored(records(spark, d)), _folder(spark)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(h) for h, c in R.CSV_COLUMNS.items()]
+    r.select(*cells).coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    got = R.records_from_csv(io.read_release_csv(spark, path), "release_1", "release01", BASE)
+    return got.groupBy("kind", "redaction", "agency").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"), F.count("repair").alias("repaired"))
+
+
+SQL_IO_RELEASE = f"""WITH {SQL_RECORDS}, c AS (SELECT upper(trim(regexp_replace(replace(coalesce(kind, ''), chr(65279), ' '), '[{WS}]+', ' ', 'g'))) AS kind, coalesce(redaction, false) AS redaction,
+trim(regexp_replace(replace(coalesce(agency, ''), chr(65279), ' '), '[{WS}]+', ' ', 'g')) AS agency, trim(coalesce(source_url, '')) AS u, trim(coalesce(thumbnail_url, '')) AS t FROM records)
+SELECT kind, redaction, agency, count(*) AS n, count(*) AS ids, count(*) FILTER (WHERE kind = 'PDF' AND u <> '' AND NOT lower(u) LIKE '%.pdf' AND t <> '' AND lower(regexp_extract(t, '([^/]*)/*$', 1)) LIKE '%.jpg') AS repaired FROM c GROUP BY kind, redaction, agency"""
+
+
+def q_io_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses written as a list of lines, and how often each stands in it."""
+    path = _folder(spark)
+    io.write_lines(records(spark, d), "source_url", path)
+    return spark.read.text(path).groupBy(F.col("value").alias("source_url")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_io_split(spark: SparkSession, d: str) -> DataFrame:
+    """Records written in a folder for each kind, and read again."""
+    path = _folder(spark)
+    io.write_split(records(spark, d).where("kind is not null").select(*_ROUND), "kind", path)
+    return spark.read.schema("id string, title string, redaction boolean, source_url string, kind string").json(path).select(*_ROUND)
+
+
+def q_io_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Merged pages written below a folder for each record, texts ending in a line break, and read again."""
+    path = _folder(spark)
+    rows = page_rows(spark, d).select("record_id", "page", F.coalesce("final_text", F.lit("")).alias("text"))
+    io.write_page_texts(rows, path)
+    return spark.read.schema("page bigint, text string, record_id string").parquet(path).select("record_id", "page", F.md5("text").alias("text_md5"))
+
+
+def q_io_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Three tables written from one pass over the pages, and the rows of each."""
+    path = _folder(spark)
+    parts = {"pages": lambda df: df, "embedded": lambda df: df.where("source like 'embedded%'"), "records": lambda df: df.groupBy("record_id").agg(F.count(F.lit(1)).alias("n"))}
+    io.write_tables(page_rows(spark, d).select("record_id", "page", "source"), parts, path)
+    counts = [io.read_jsonl(spark, f"{path}/{name}", "record_id string").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name in parts]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def q_agencies(spark: SparkSession, d: str) -> DataFrame:
     """Every agency as it is written, with its number of records."""
     return records(spark, d).where(R.is_given(F.col("agency"))).groupBy("agency").agg(F.count(F.lit(1)).alias("n"))
@@ -172,51 +260,57 @@ def q_agencies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def record_layers(spark: SparkSession, d: str) -> DataFrame:
-    """Records with what was extracted and merged for them; missing layers fall back to the one before."""
+    """Records with what was extracted, merged and curated for them; missing layers fall back to the one before.
+
+    The curated layer is that of the texts as they are stored; its counts by quality are JSON.
+    """
     doc = read_table(spark, d, "documents").where("record_id is not null")
     doc = doc.groupBy(F.col("record_id").alias("id")).agg(F.max_by(F.struct("pages", "n_chars", "final_text_path"), "doc_id").alias("x"))
-    pages = read_table(spark, d, "final_pages").where("record_id is not null").dropDuplicates(["record_id", "page"])
-    final = document_totals(pages).withColumnRenamed("record_id", "id")
-    df = records(spark, d).join(doc, "id", "left").join(final, "id", "left")
-    zero = F.lit(0).cast("bigint")
+    final = document_totals(page_rows(spark, d)).select(F.col("record_id").alias("id"), F.col("ocr_text_chars").alias("o"), F.col("final_text_chars").alias("f"))
+    cur = curated_documents(spark, d, compatible=False).select(F.col("record_id").alias("id"), F.col("clean_text_chars").alias("c"), F.col("readable_doc_path").alias("r"), F.to_json("quality_counts").alias("q"))
+    images = read_table(spark, d, "ocr_pages").where("record_id is not null and page is not null and image_path is not null").groupBy(F.col("record_id").alias("id")).agg(F.countDistinct("image_path").alias("i"))
+    df = records(spark, d).join(doc, "id", "left").join(final, "id", "left").join(cur, "id", "left").join(images, "id", "left")
+    zero, empty = F.lit(0).cast("bigint"), F.lit("")
     return df.select(
-        "id", "title", "kind", "agency", "release_date", "incident_date", "incident_location", "source_url", "description",
+        *COLUMNS,
         F.when(F.col("x").isNull(), "not_extracted").otherwise("ok").alias("extraction_status"),
         F.coalesce("x.pages", zero).alias("page_count"),
         F.coalesce("x.n_chars", zero).alias("text_chars"),
-        F.coalesce("ocr_text_chars", zero).alias("ocr_text_chars"),
-        F.coalesce("final_text_chars", "x.n_chars", zero).alias("final_text_chars"),
-        F.when(F.col("final_text_chars").isNotNull(), F.concat(F.lit("data/extracted/final_text/documents/"), F.col("id"), F.lit(".txt"))).otherwise(F.coalesce("x.final_text_path", F.lit(""))).alias("final_text_path"),
+        F.coalesce("o", zero).alias("ocr_text_chars"),
+        F.coalesce("f", "x.n_chars", zero).alias("final_text_chars"),
+        F.when(F.col("f").isNotNull(), F.concat(F.lit("data/extracted/final_text/documents/"), F.col("id"), F.lit(".txt"))).otherwise(F.coalesce("x.final_text_path", empty)).alias("final_text_path"),
+        F.coalesce("c", "f", "x.n_chars", zero).alias("clean_text_chars"),
+        F.coalesce("r", empty).alias("readable_doc_path"),
+        F.coalesce("q", F.lit("{}")).alias("quality_counts"),
+        F.coalesce("i", zero).alias("image_count"),
     )
 
 
 def q_record_layers(spark: SparkSession, d: str) -> DataFrame:
-    return record_layers(spark, d).select("id", "extraction_status", "page_count", "text_chars", "ocr_text_chars", "final_text_chars", "final_text_path")
+    return record_layers(spark, d).select("id", *G.LAYERS)
 
 
-SQL_LAYERED = f"""{SQL_RECORDS},
+SQL_LAYERED = f"""{SQL_RECORDS}, {SQL_DOCUMENTS},
 x AS (SELECT record_id, arg_max(struct_pack(p := pages, n := n_chars, f := final_text_path), doc_id) AS x FROM documents WHERE record_id IS NOT NULL GROUP BY record_id),
-fi AS (SELECT record_id, CAST(sum(ocr_text_chars) AS BIGINT) AS o, CAST(sum(final_text_chars) AS BIGINT) AS f FROM (SELECT DISTINCT record_id, page, ocr_text_chars, final_text_chars FROM final_pages WHERE record_id IS NOT NULL) GROUP BY record_id),
+fi AS (SELECT record_id, CAST(sum(ocr_text_chars) AS BIGINT) AS o, CAST(sum(final_text_chars) AS BIGINT) AS f FROM (SELECT DISTINCT record_id, page, ocr_text_chars, final_text_chars FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL) GROUP BY record_id),
+im AS (SELECT record_id, count(DISTINCT image_path) AS i FROM ocr_pages WHERE record_id IS NOT NULL AND page IS NOT NULL GROUP BY record_id HAVING count(image_path) > 0),
 layered AS (SELECT r.*, CASE WHEN x.record_id IS NULL THEN 'not_extracted' ELSE 'ok' END AS extraction_status, coalesce(x.x.p, 0) AS page_count, coalesce(x.x.n, 0) AS text_chars, coalesce(fi.o, 0) AS ocr_text_chars,
-  coalesce(fi.f, x.x.n, 0) AS final_text_chars, CASE WHEN fi.f IS NOT NULL THEN 'data/extracted/final_text/documents/' || r.id || '.txt' ELSE coalesce(x.x.f, '') END AS final_text_path
-  FROM records r LEFT JOIN x ON x.record_id = r.id LEFT JOIN fi ON fi.record_id = r.id)
+  coalesce(fi.f, x.x.n, 0) AS final_text_chars, CASE WHEN fi.f IS NOT NULL THEN 'data/extracted/final_text/documents/' || r.id || '.txt' ELSE coalesce(x.x.f, '') END AS final_text_path,
+  coalesce(docs.clean_text_chars, fi.f, x.x.n, 0) AS clean_text_chars, coalesce(docs.readable_doc_path, '') AS readable_doc_path, coalesce(docs.quality_counts, '{{}}') AS quality_counts, coalesce(im.i, 0) AS image_count
+  FROM records r LEFT JOIN x ON x.record_id = r.id LEFT JOIN fi ON fi.record_id = r.id LEFT JOIN docs ON docs.record_id = r.id LEFT JOIN im ON im.record_id = r.id)
 """
+_LAYERS = ", ".join(G.LAYERS)
 
 
 def q_layer_totals(spark: SparkSession, d: str) -> DataFrame:
     """Totals over all records by kind and state of extraction."""
-    return record_layers(spark, d).groupBy("kind", "extraction_status").agg(F.count(F.lit(1)).alias("n"), F.sum("page_count").alias("pages"), F.sum("final_text_chars").alias("final_text_chars"))
+    sums = [F.sum(c).alias(n) for c, n in (("page_count", "pages"), ("final_text_chars", "final_text_chars"), ("image_count", "images"))]
+    return record_layers(spark, d).groupBy("kind", "extraction_status").agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
 def q_doc_headers(spark: SparkSession, d: str) -> DataFrame:
     """The Markdown header of every record; blank fields as N/A, the title falls back to the id."""
-    text = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("N/A"))
-    head = F.concat(
-        F.lit("# "), F.coalesce(F.nullif(F.col("title"), F.lit("")), F.col("id")), F.lit("\n\n- Record ID: `"), F.col("id"), F.lit("`\n- Agency: "), text("agency"), F.lit("\n- Release date: "), text("release_date"),
-        F.lit("\n- Incident date: "), text("incident_date"), F.lit("\n- Incident location: "), text("incident_location"), F.lit("\n- Source URL: "), text("source_url"),
-    )
-    more = F.when(F.coalesce("description", F.lit("")) != "", F.concat(F.lit("\n\n## Official Description\n\n"), F.col("description"))).otherwise(F.lit(""))
-    return records(spark, d).select("id", F.md5(F.concat(T.strip(F.concat(head, more)), F.lit("\n"))).alias("header_md5"))
+    return records(spark, d).select("id", F.md5(T.document_header()).alias("header_md5"))
 
 
 def _sql_na(c: str) -> str:
@@ -233,7 +327,7 @@ SELECT id, md5({sql_strip('t')} || chr(10)) AS header_md5 FROM h"""
 _EVENT_KEY = """CASE WHEN upper(coalesce(nullif(incident_date, ''), 'N/A')) = 'N/A' AND upper(coalesce(nullif(incident_location, ''), 'N/A')) = 'N/A' THEN 'record:' || id
 ELSE coalesce(nullif(incident_date, ''), 'N/A') || '|' || coalesce(nullif(incident_location, ''), 'N/A') END"""
 
-SQL_GRAPH = f"""{SQL_RECORDS},
+_SQL_GRAPH = f"""
 k0 AS (SELECT *, {_EVENT_KEY} AS ekey FROM records),
 k AS (SELECT *, 'release:' || coalesce(release, '') AS rel_n, 'record:' || id AS rec_n, {sql_node('agency', 'agency')} AS age_n,
   CASE WHEN incident_location IS NOT NULL AND incident_location <> '' AND upper(incident_location) <> 'N/A' THEN {sql_node('location', 'incident_location')} END AS loc_n,
@@ -244,37 +338,51 @@ edges AS (SELECT * FROM (SELECT rel_n AS source, rec_n AS target, 'contains_reco
   UNION ALL SELECT rec_n, loc_n, 'incident_location', id, 2 FROM k UNION ALL SELECT rec_n, dat_n, 'incident_date', id, 3 FROM k UNION ALL SELECT eve_n, rec_n, 'supported_by', id, 4 FROM k
   UNION ALL SELECT rec_n, pdf_n, 'pdf_pairing', id, 5 FROM k UNION ALL SELECT rec_n, vid_n, 'video_pairing', id, 6 FROM k) WHERE source IS NOT NULL AND target IS NOT NULL),
 flat AS (SELECT * FROM (
-  SELECT rel_n AS nid, 'release' AS type, id AS ord, 0 AS place, release AS label, NULL AS nkind, NULL AS nagency, NULL AS ndate, NULL AS nloc, NULL AS nurl, NULL AS ndesc FROM k
-  UNION ALL SELECT rec_n, 'record', id, 1, title, kind, agency, incident_date, incident_location, source_url, description FROM k
-  UNION ALL SELECT age_n, 'agency', id, 2, coalesce(nullif(agency, ''), 'Unknown agency'), NULL, NULL, NULL, NULL, NULL, NULL FROM k
-  UNION ALL SELECT loc_n, 'location', id, 3, incident_location, NULL, NULL, NULL, NULL, NULL, NULL FROM k
-  UNION ALL SELECT dat_n, 'date', id, 4, incident_date, NULL, NULL, NULL, NULL, NULL, NULL FROM k
-  UNION ALL SELECT eve_n, 'event', id, 5, elabel, NULL, NULL, incident_date, incident_location, NULL, NULL FROM k
-  UNION ALL SELECT pdf_n, 'pairing', id, 6, pdf_pairing, NULL, NULL, NULL, NULL, NULL, NULL FROM k
-  UNION ALL SELECT vid_n, 'pairing', id, 7, video_pairing, NULL, NULL, NULL, NULL, NULL, NULL FROM k) WHERE nid IS NOT NULL),
+  SELECT rel_n AS nid, 'release' AS type, id AS ord, 0 AS place, release AS label, NULL AS nkind, NULL AS nagency, NULL AS ndate, NULL AS nloc, NULL AS nurl, NULL AS ndesc, NULL AS nthumb, NULL AS npath, release_date AS nrel FROM k
+  UNION ALL SELECT rec_n, 'record', id, 1, title, kind, agency, incident_date, incident_location, source_url, description, thumbnail_url, local_path, NULL FROM k
+  UNION ALL SELECT age_n, 'agency', id, 2, coalesce(nullif(agency, ''), 'Unknown agency'), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM k
+  UNION ALL SELECT loc_n, 'location', id, 3, incident_location, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM k
+  UNION ALL SELECT dat_n, 'date', id, 4, incident_date, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM k
+  UNION ALL SELECT eve_n, 'event', id, 5, elabel, NULL, NULL, incident_date, incident_location, NULL, NULL, NULL, NULL, NULL FROM k
+  UNION ALL SELECT pdf_n, 'pairing', id, 6, pdf_pairing, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM k
+  UNION ALL SELECT vid_n, 'pairing', id, 7, video_pairing, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM k) WHERE nid IS NOT NULL),
 nodes AS (SELECT nid AS id, type, first(label ORDER BY ord, place) FILTER (WHERE coalesce(label, '') <> '') AS label, first(nkind ORDER BY ord, place) FILTER (WHERE coalesce(nkind, '') <> '') AS kind,
   first(nagency ORDER BY ord, place) FILTER (WHERE coalesce(nagency, '') <> '') AS agency, first(ndate ORDER BY ord, place) FILTER (WHERE coalesce(ndate, '') <> '') AS incident_date,
   first(nloc ORDER BY ord, place) FILTER (WHERE coalesce(nloc, '') <> '') AS incident_location, first(nurl ORDER BY ord, place) FILTER (WHERE coalesce(nurl, '') <> '') AS source_url,
-  first(ndesc ORDER BY ord, place) FILTER (WHERE coalesce(ndesc, '') <> '') AS description, CASE WHEN type = 'event' THEN count(*) END AS record_count FROM flat GROUP BY nid, type),
+  first(ndesc ORDER BY ord, place) FILTER (WHERE coalesce(ndesc, '') <> '') AS description, first(nthumb ORDER BY ord, place) FILTER (WHERE coalesce(nthumb, '') <> '') AS thumbnail_url,
+  first(npath ORDER BY ord, place) FILTER (WHERE coalesce(npath, '') <> '') AS local_path, first(nrel ORDER BY ord, place) FILTER (WHERE coalesce(nrel, '') <> '') AS date, CASE WHEN type = 'event' THEN count(*) END AS record_count FROM flat GROUP BY nid, type),
 ends AS (SELECT source AS id, ord, place * 2 AS place FROM edges UNION ALL SELECT target, ord, place * 2 + 1 FROM edges),
 degrees AS (SELECT id, count(*) AS degree, min(ord) AS first_ord, arg_min(place, (ord, place)) AS first_place FROM ends GROUP BY id)
 """
+SQL_GRAPH = f"{SQL_RECORDS}, {_SQL_GRAPH}"
+SQL_FULL = f"{SQL_LAYERED}, {_SQL_GRAPH}"
 
 
 def _graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    r = records(spark, d)
+    """Nodes and edges of the records, which are worked out once for both."""
+    r = stored(records(spark, d))
     return G.nodes(r), G.edges(r)
 
 
 def q_graph_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """All nodes with their merged attributes; the count of records is 0 but for events."""
-    return _graph(spark, d)[0].withColumn("record_count", F.coalesce("record_count", F.lit(0)))
+    """All nodes with their merged attributes, record nodes with those of all layers; the count of records is 0 but for events."""
+    return G.nodes(stored(record_layers(spark, d))).withColumn("record_count", F.coalesce("record_count", F.lit(0).cast("bigint")))
 
 
 def q_graph_edges(spark: SparkSession, d: str) -> DataFrame:
     return _graph(spark, d)[1].select("source", "target", "relation")
 
 
+def q_event_order(spark: SparkSession, d: str) -> DataFrame:
+    """The sections of the event index, numbered in the order of labels."""
+    e = reports.events(_graph(spark, d)[0]).withColumn("label", F.coalesce("label", F.lit("")))
+    return R.with_ordinal(e, ["label", "id"]).select("ordinal", "id", F.md5("section").alias("section_md5"))
+
+
+SQL_EVENT_ORDER = f"""WITH {SQL_GRAPH} SELECT row_number() OVER (ORDER BY coalesce(label, ''), id) AS ordinal, id, md5('## ' || label || chr(10) || chr(10) || '- Incident date: ' || coalesce(nullif(incident_date, ''), 'N/A') || chr(10)
+|| '- Incident location: ' || coalesce(nullif(incident_location, ''), 'N/A') || chr(10) || '- Record count: ' || record_count || chr(10)) AS section_md5 FROM nodes WHERE type = 'event'"""
+
+
 def q_event_index(spark: SparkSession, d: str) -> DataFrame:
     """Events with label, date, place and number of records."""
     n = _graph(spark, d)[0].where("type = 'event'")
@@ -283,11 +391,17 @@ def q_event_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_graph_metadata(spark: SparkSession, d: str) -> DataFrame:
-    n, e = _graph(spark, d)
-    a = records(spark, d).agg(F.count(F.lit(1)).alias("record_count"))
+    r = stored(records(spark, d))
+    n, e = G.nodes(r), G.edges(r)
+    a = r.agg(F.count(F.lit(1)).alias("record_count"))
     return a.crossJoin(n.agg(F.count(F.lit(1)).alias("node_count"))).crossJoin(e.agg(F.count(F.lit(1)).alias("edge_count")))  # three rows of one
 
 
+def q_node_order(spark: SparkSession, d: str) -> DataFrame:
+    """All nodes, numbered in the order of their ids."""
+    return R.with_ordinal(_graph(spark, d)[0].select("id", "type"), ["id"]).select("ordinal", "id", "type")
+
+
 def q_degree(spark: SparkSession, d: str) -> DataFrame:
     return G.degrees(_graph(spark, d)[1]).select("id", "degree")
 
@@ -321,6 +435,45 @@ def q_relation_counts(spark: SparkSession, d: str) -> DataFrame:
     return _graph(spark, d)[1].groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_relation_order(spark: SparkSession, d: str) -> DataFrame:
+    """Relations by their number of edges, as the viewer lists and names them."""
+    n = _graph(spark, d)[1].groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.orderBy(F.desc("n"), "relation")).cast("bigint")  # over a handful of relations
+    return n.select(place.alias("place"), "relation", T.relation_label(F.col("relation")).alias("label"), T.number(F.col("n")).alias("shown"))
+
+
+SQL_RELATION_ORDER = f"""WITH {SQL_GRAPH}, c AS (SELECT relation, count(*) AS n FROM edges GROUP BY relation) SELECT row_number() OVER (ORDER BY n DESC, relation) AS place, relation,
+CASE WHEN relation = 'pdf_pairing' THEN 'PDF pairing' ELSE replace(relation, '_', ' ') END AS label, format('{{:,}}', n) AS shown FROM c"""
+
+
+def q_preset_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many nodes and edges each preset view shows."""
+    n, e = map(stored, _graph(spark, d))
+    parts = []
+    for name, types in V.PRESETS.items():
+        seen = n.where(F.col("type").isin(*types)).select("id")
+        one = seen.agg(F.count(F.lit(1)).alias("nodes")).crossJoin(V.visible_edges(e, seen).agg(F.count(F.lit(1)).alias("edges")))  # single rows
+        parts.append(one.select(F.lit(name).alias("preset"), "nodes", "edges"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_PRESET = "SELECT '{name}' AS preset, (SELECT count(*) FROM nodes WHERE type IN {types}) AS nodes, (SELECT count(*) FROM edges JOIN nodes a ON a.id = source JOIN nodes b ON b.id = target WHERE a.type IN {types} AND b.type IN {types}) AS edges"
+SQL_PRESETS = f"WITH {SQL_GRAPH} " + " UNION ALL ".join(_PRESET.format(name=k, types=v) for k, v in V.PRESETS.items())
+
+
+def q_top_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten neighbours of the node of the highest degree."""
+    n, e = map(stored, _graph(spark, d))
+    deg = stored(G.degrees(e))
+    top = deg.orderBy(F.desc("degree"), "first_ord", "first_place").limit(1).select("id")
+    return V.top_neighbours(e, n, deg, top)
+
+
+SQL_TOP_NEIGHBOURS = f"""WITH {SQL_GRAPH}, t AS (SELECT id FROM degrees ORDER BY degree DESC, first_ord, first_place LIMIT 1),
+o AS (SELECT target AS id FROM edges WHERE source IN (SELECT id FROM t) UNION ALL SELECT source FROM edges WHERE target IN (SELECT id FROM t))
+SELECT o.id, n.type, coalesce(n.label, '') AS label, d.degree FROM o JOIN nodes n ON n.id = o.id JOIN degrees d ON d.id = o.id ORDER BY d.degree DESC, coalesce(n.label, ''), o.id LIMIT 10"""
+
+
 def q_agency_bars(spark: SparkSession, d: str) -> DataFrame:
     """Records of each agency and the width of its bar."""
     n = _graph(spark, d)[0].where("type = 'record' and coalesce(agency, '') <> ''").groupBy("agency").agg(F.count(F.lit(1)).alias("n"))
@@ -411,28 +564,22 @@ SELECT id, round(x, 4) AS x, round(y, 4) AS y, round(600 + (x + 10) * 0.5::DOUBL
 
 
 def q_viewport(spark: SparkSession, d: str) -> DataFrame:
-    """Bounding box, zoom and shift for all event nodes."""
-    v = V.viewport(_placed(spark, d).where("type = 'event'"), 1200.0, 800.0)
+    """Bounding box, zoom and shift for all nodes."""
+    v = V.viewport(_placed(spark, d), 1200.0, 800.0)
     return v.select("n", *(F.round(c, 3).alias(c) for c in ("min_x", "max_x", "min_y", "max_y", "dx", "dy")), F.round("zoom", 6).alias("zoom"))
 
 
-SQL_VIEWPORT = f"""WITH {_SQL_PLACED}, b AS (SELECT count(*) AS n, min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM placed WHERE type = 'event')
+SQL_VIEWPORT = f"""WITH {_SQL_PLACED}, b AS (SELECT count(*) AS n, min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM placed)
 SELECT n, round(a, 3) AS min_x, round(b, 3) AS max_x, round(c, 3) AS min_y, round(d, 3) AS max_y, round(-(a + b) / 2, 3) AS dx, round(-(c + d) / 2, 3) AS dy,
 round(greatest(0.18::DOUBLE, least(2.2::DOUBLE, 1110.0::DOUBLE / greatest(1, b - a), 710.0::DOUBLE / greatest(1, d - c))), 6) AS zoom FROM b"""
 
 
-def q_close_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """How many agency nodes are in reach of each agency node of the layout."""
-    pairs = V.close_pairs(_placed(spark, d).where("type = 'agency'"))
-    return pairs.groupBy("id_a").agg(F.count(F.lit(1)).alias("n"))
-
-
 def q_close_counts(spark: SparkSession, d: str) -> DataFrame:
     """How many other nodes are in reach of each node of the layout, over nodes of all types."""
     return V.close_counts(_placed(spark, d))
 
 
-SQL_CLOSE = f"WITH {_SQL_PLACED} SELECT a.id AS id_a, count(*) AS n FROM placed a JOIN placed b ON a.type = 'agency' AND b.type = 'agency' AND a.id < b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 150000 GROUP BY a.id"
+SQL_CLOSE = f"WITH {_SQL_PLACED} SELECT a.id, count(b.id) AS n FROM placed a LEFT JOIN placed b ON a.id <> b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 150000 GROUP BY a.id"
 
 
 def q_nearest(spark: SparkSession, d: str) -> DataFrame:
@@ -446,14 +593,14 @@ SELECT id, round(dist, 4) AS dist FROM n WHERE dist < radius + 40 ORDER BY n.dis
 
 
 def q_force_step(spark: SparkSession, d: str) -> DataFrame:
-    """The first step of the layout for the visible nodes: those of degree 3 or more."""
+    """The first step of the layout for all nodes, from their homes."""
     e = _graph(spark, d)[1]
-    p = _placed(spark, d).where("degree >= 3")
+    p = stored(_placed(spark, d))
     state = p.select("id", "type", "degree", F.col("x").alias("home_x"), F.col("y").alias("home_y"), "x", "y", F.lit(0.0).alias("vx"), F.lit(0.0).alias("vy"))
-    return V.force_step(state, V.visible_edges(e, p), 1.0).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+    return V.force_step(state, e, 1.0).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
-SQL_FORCE = f"""WITH {_SQL_PLACED}, v AS (SELECT * FROM placed WHERE degree >= 3),
+SQL_FORCE = f"""WITH {_SQL_PLACED}, v AS (SELECT * FROM placed),
 pairs AS (SELECT a.id, a.x - b.x AS dx, a.y - b.y AS dy, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 AS d2, a.radius + b.radius + 16 AS near FROM v a JOIN v b ON a.id <> b.id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + 36 <= 150000),
 push AS (SELECT id, dx / sqrt(d2) * f AS fx, dy / sqrt(d2) * f AS fy FROM (SELECT *, least(0.72::DOUBLE, 2100 / d2) + CASE WHEN sqrt(d2) < near THEN (near - sqrt(d2)) * 0.052::DOUBLE ELSE 0 END AS f FROM pairs)),
 e1 AS (SELECT e.source, e.target, b.x - a.x AS dx, b.y - a.y AS dy, CASE WHEN pow(b.x - a.x, 2) + pow(b.y - a.y, 2) = 0 THEN 1 ELSE sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) END AS d,
@@ -464,16 +611,33 @@ t AS (SELECT *, CASE WHEN sqrt(vx * vx + vy * vy) > 18 THEN 18 / sqrt(vx * vx +
 SELECT id, round(x + vx * slow, 3) AS x, round(y + vy * slow, 3) AS y FROM t"""
 
 
+def _checks(spark: SparkSession, d: str) -> DataFrame:
+    r = stored(record_layers(spark, d))
+    return K.checks(r, stored(G.nodes(r)), stored(G.edges(r)), q_ocr_jobs(spark, d))
+
+
 def q_validate(spark: SparkSession, d: str) -> DataFrame:
-    n, e = _graph(spark, d)
-    return K.checks(records(spark, d), n, e)
+    """All checks of the finished graph with their failures."""
+    return _checks(spark, d)
+
+
+def q_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """The result of all checks in one row."""
+    return K.verdict_row(_checks(spark, d))
 
 
-SQL_VALIDATE = f"""WITH {SQL_GRAPH} SELECT 'edge_source_exists' AS check_name, count(*) AS failures FROM edges WHERE source NOT IN (SELECT id FROM nodes)
+SQL_CHECKS = f"""{SQL_FULL}, {SQL_BEST_IMAGE}, checks AS (SELECT 'edge_source_exists' AS check_name, count(*) AS failures FROM edges WHERE source NOT IN (SELECT id FROM nodes)
 UNION ALL SELECT 'edge_target_exists', count(*) FROM edges WHERE target NOT IN (SELECT id FROM nodes)
 UNION ALL SELECT 'node_id_unique', count(*) FROM (SELECT id FROM nodes GROUP BY id HAVING count(*) > 1)
 UNION ALL SELECT 'record_has_title', count(*) FROM records WHERE coalesce(title, '') = ''
-UNION ALL SELECT 'record_count_matches', abs((SELECT count(*) FROM records) - (SELECT count(*) FROM nodes WHERE type = 'record'))"""
+UNION ALL SELECT 'records_not_empty', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM records UNION ALL SELECT 'pdf_records_not_empty', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM records WHERE kind = 'PDF'
+UNION ALL SELECT 'record_count_matches', abs((SELECT count(*) FROM records) - (SELECT count(*) FROM nodes WHERE type = 'record'))
+UNION ALL SELECT 'pdf_has_readable_path', count(*) FROM layered WHERE kind = 'PDF' AND readable_doc_path = ''
+UNION ALL SELECT 'image_is_recognised', count(*) FROM (SELECT DISTINCT record_id, page FROM final_pages p WHERE record_id IS NOT NULL AND page IS NOT NULL AND coalesce(embedded_text_chars, 0) <= 20
+  AND EXISTS (SELECT 1 FROM best i WHERE i.record_id = p.record_id AND i.page = p.page) AND NOT EXISTS (SELECT 1 FROM ocr_pages o WHERE o.record_id = p.record_id AND o.page = p.page AND o.status = 'ok'))
+""" + " ".join(f"UNION ALL SELECT 'connects_{r}', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM edges WHERE relation = '{r}'" for r in K.MUST_CONNECT) + ")"
+SQL_VALIDATE = f"WITH {SQL_CHECKS} SELECT check_name, CAST(failures AS BIGINT) AS failures FROM checks"
+SQL_VERDICT = f"""WITH {SQL_CHECKS} SELECT CASE WHEN max(failures) > 0 THEN 'failed' ELSE 'ok' END AS status, coalesce(string_agg(check_name, ',' ORDER BY check_name) FILTER (WHERE failures > 0), '') AS failed_checks, CAST(sum(failures) AS BIGINT) AS failures FROM checks"""
 
 
 def q_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -501,13 +665,12 @@ PAIRS: dict[str, tuple] = {
     "q_quote_url": (q_quote_url, SQL_QUOTE),
     "q_kind_counts": (q_kind_counts, f"WITH {SQL_RECORDS} SELECT kind, count(*) AS n, count(repair) AS repaired, count(warning) AS warned FROM records GROUP BY kind"),
     "q_distinct_files": (q_distinct_files, f"WITH {SQL_RECORDS} SELECT kind, count(*) AS n, count(DISTINCT local_path) AS files FROM records WHERE local_path <> '' GROUP BY kind"),
-    "q_download_candidates": (q_download_candidates, f"WITH {SQL_RECORDS} SELECT id, kind, source_url, local_path FROM records WHERE kind IN ('PDF', 'IMG') AND coalesce(source_url, '') <> '' AND coalesce(local_path, '') <> '' ORDER BY id LIMIT 100"),
     "q_download_all": (q_download_all, f"WITH {SQL_RECORDS} SELECT id, kind, source_url, local_path FROM records WHERE kind IN ('PDF', 'IMG') AND coalesce(source_url, '') <> '' AND coalesce(local_path, '') <> ''"),
     "q_agencies": (q_agencies, f"WITH {SQL_RECORDS} SELECT agency, count(*) AS n FROM records WHERE agency IS NOT NULL AND agency <> '' AND upper(agency) <> 'N/A' GROUP BY agency"),
-    "q_record_layers": (q_record_layers, f"WITH {SQL_LAYERED} SELECT id, extraction_status, page_count, text_chars, ocr_text_chars, final_text_chars, final_text_path FROM layered"),
-    "q_layer_totals": (q_layer_totals, f"WITH {SQL_LAYERED} SELECT kind, extraction_status, count(*) AS n, CAST(sum(page_count) AS BIGINT) AS pages, CAST(sum(final_text_chars) AS BIGINT) AS final_text_chars FROM layered GROUP BY kind, extraction_status"),
+    "q_record_layers": (q_record_layers, f"WITH {SQL_LAYERED} SELECT id, {_LAYERS} FROM layered"),
+    "q_layer_totals": (q_layer_totals, f"WITH {SQL_LAYERED} SELECT kind, extraction_status, count(*) AS n, CAST(sum(page_count) AS BIGINT) AS pages, CAST(sum(final_text_chars) AS BIGINT) AS final_text_chars, CAST(sum(image_count) AS BIGINT) AS images FROM layered GROUP BY kind, extraction_status"),
     "q_doc_headers": (q_doc_headers, SQL_HEADERS),
-    "q_graph_nodes": (q_graph_nodes, f"WITH {SQL_GRAPH} SELECT * REPLACE (coalesce(record_count, 0) AS record_count) FROM nodes"),
+    "q_graph_nodes": (q_graph_nodes, f"WITH {SQL_FULL} SELECT n.* REPLACE (coalesce(record_count, 0) AS record_count), {_LAYERS} FROM nodes n LEFT JOIN layered l ON n.id = 'record:' || l.id"),
     "q_graph_edges": (q_graph_edges, f"WITH {SQL_GRAPH} SELECT source, target, relation FROM edges"),
     "q_event_index": (q_event_index, f"WITH {SQL_GRAPH} SELECT id, label, coalesce(nullif(incident_date, ''), 'N/A') AS incident_date, coalesce(nullif(incident_location, ''), 'N/A') AS incident_location, record_count FROM nodes WHERE type = 'event'"),
     "q_graph_metadata": (q_graph_metadata, f"WITH {SQL_GRAPH} SELECT (SELECT count(*) FROM records) AS record_count, (SELECT count(*) FROM nodes) AS node_count, (SELECT count(*) FROM edges) AS edge_count"),
@@ -527,9 +690,24 @@ PAIRS: dict[str, tuple] = {
     "q_spiral": (q_spiral, SQL_SPIRAL),
     "q_viewport": (q_viewport, SQL_VIEWPORT),
     "q_force_step": (q_force_step, SQL_FORCE),
-    "q_close_pairs": (q_close_pairs, SQL_CLOSE),
-    "q_close_counts": (q_close_counts, None),
+    "q_close_counts": (q_close_counts, SQL_CLOSE),
     "q_nearest": (q_nearest, SQL_NEAREST),
     "q_validate": (q_validate, SQL_VALIDATE),
+    "q_verdict": (q_verdict, SQL_VERDICT),
+    "q_event_order": (q_event_order, SQL_EVENT_ORDER),
+    "q_node_order": (q_node_order, f"WITH {SQL_GRAPH} SELECT row_number() OVER (ORDER BY id) AS ordinal, id, type FROM nodes"),
+    "q_relation_order": (q_relation_order, SQL_RELATION_ORDER),
+    "q_preset_counts": (q_preset_counts, SQL_PRESETS),
+    "q_top_neighbours": (q_top_neighbours, SQL_TOP_NEIGHBOURS),
+    "q_fetch_missing": (q_fetch_missing, f"WITH {SQL_RECORDS}, f AS (SELECT r.local_path FROM records r JOIN documents x ON x.record_id = r.id WHERE x.n_chars >= 1 AND r.local_path IS NOT NULL) SELECT id, local_path FROM records WHERE kind IN ('PDF', 'IMG') AND coalesce(source_url, '') <> '' AND coalesce(local_path, '') <> '' AND local_path NOT IN (SELECT local_path FROM f)"),
+    "q_thumbnails": (q_thumbnails, f"WITH {SQL_RECORDS} SELECT id, regexp_extract(thumbnail_url, '([^/]+)/*$', 1) AS name FROM records WHERE regexp_extract(thumbnail_url, '([^/]+)/*$', 1) <> ''"),
+    "q_sorted_files": (q_sorted_files, f"WITH {SQL_RECORDS} SELECT row_number() OVER (ORDER BY local_path) AS ordinal, local_path FROM (SELECT DISTINCT local_path FROM records WHERE local_path <> '')"),
+    "q_io_jsonl": (q_io_jsonl, f"WITH {SQL_RECORDS} SELECT {', '.join(_ROUND)} FROM records"),
+    "q_io_csv": (q_io_csv, f"WITH {SQL_RECORDS} SELECT id, kind, title, CAST(redaction AS VARCHAR) AS redaction, CASE WHEN kind <> 'PDF' THEN source_url END AS source_url FROM records"),
+    "q_io_release": (q_io_release, SQL_IO_RELEASE),
+    "q_io_lines": (q_io_lines, f"WITH {SQL_RECORDS} SELECT source_url, count(*) AS n FROM records WHERE source_url <> '' GROUP BY source_url"),
+    "q_io_split": (q_io_split, f"WITH {SQL_RECORDS} SELECT {', '.join(_ROUND)} FROM records WHERE kind IS NOT NULL"),
+    "q_io_texts": (q_io_texts, "SELECT DISTINCT record_id, page, md5(CASE WHEN coalesce(final_text, '') = '' THEN '' ELSE final_text || chr(10) END) AS text_md5 FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL"),
+    "q_io_tables": (q_io_tables, "WITH p AS (SELECT DISTINCT record_id, page, source FROM final_pages WHERE record_id IS NOT NULL AND page IS NOT NULL) SELECT 'pages' AS name, count(*) AS n FROM p UNION ALL SELECT 'embedded', count(*) FROM p WHERE source LIKE 'embedded%' UNION ALL SELECT 'records', count(DISTINCT record_id) FROM p"),
     "q_labels": (q_labels, SQL_LABELS),
 }

@@ -147,7 +147,7 @@ def graph_json(nodes: DataFrame, edges: DataFrame, metadata: dict, path: str) ->
 
 def embedded_json(value: object) -> str:
     """JSON that may stand inside a script element."""
-    return json.dumps(value, ensure_ascii=False).replace("<", "\\u003c").replace(" ", "\\u2028").replace(" ", "\\u2029")
+    return json.dumps(value, ensure_ascii=False).replace("<", "\\u003c").replace("\u2028", "\\u2028").replace("\u2029", "\\u2029")
 
 
 # The viewer: counts, search, types, neighbours; all of it works on the embedded data.

@@ -16,22 +16,3 @@ def normalize(t: str) -> str:
 
 def key(line: str) -> str:
     return " ".join(line.strip().lower().split())
-
-
-def windows(p: str, size: int, overlap: int) -> list[str]:
-    return [p[i : i + size] for i in range(0, len(p), size - overlap)]
-
-
-def chunks(t: str, size: int = 1800, overlap: int = 180) -> list[str]:
-    out, held = [], []
-    if not t.strip():
-        return out
-    for p in t.strip().split("\n\n"):
-        if len("\n\n".join([*held, p])) <= size:
-            held = ["\n\n".join([*held, p])] if held and held != [""] else [p]
-            continue
-        out += [h for h in held if h]
-        held = [p] if len(p) <= size else []
-        if len(p) > size:
-            out += windows(p, size, overlap)
-    return out + [h for h in held if h]
