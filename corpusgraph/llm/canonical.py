@@ -10,7 +10,8 @@ is the value's entry, and a value without any is reported as unmatched.
 Folding before the search: look-alike characters by prototype, case, accents, punctuation, and
 digits that stand for letters within words. A token of digits alone is a number, must be equal
 in value and entry, and is no misspelling. Tokens cut short ("Is.", "Plat.", "St.", "A.S.") are
-expanded to words of the list that they abbreviate.
+expanded to the words that they abbreviate, path by path: a path is tried with its own words in the
+place of all tokens cut short, so no product over the list's words is ever formed or cut.
 
 The reference list must be small enough for a broadcast; its size is checked against
 MAX_ENTRIES. Distinct values are matched once. Defined results: blank values (null, empty,
@@ -23,7 +24,6 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import product
 
 import pyarrow as pa
@@ -34,8 +34,6 @@ from corpusgraph.llm.skeleton import prototype
 
 MAX_ENTRIES = 100_000
 NONE = "none"
-#: Distinct values are few bytes and much work; without a number they would end up in one task.
-MATCH_TASKS = 96
 #: Words and phrases that only qualify a place or an office.
 BEFORE = re.compile(r"^(?:the|(?:(?:approx|about|circa|ca)\W+)?(?:\d+\s*(?:km|miles?|m|nm)\s+(?:[nsew]{1,3}|north|south|east|west)\s+of|off|near|at|in|over|around|vicinity of|close to|north of|south of|east of|west of))\s+", re.I)
 BEHIND = re.compile(r"[\s,]+(?:area|region|vicinity|district|approx|hq|headquarters|field office|forwarded|shore|seaward side|(?:section|sect|desk|unit|branch) \d+)$", re.I)
@@ -128,6 +126,8 @@ class Matcher:
         if len(entries) > MAX_ENTRIES:
             raise ValueError("the reference list is too long for a broadcast")
         self.trie, self.exact = Trie(), {}
+        self.paths: list[list[str]] = []
+        self.short: dict[str, dict[int, list[str]]] = {}
         words = Counter(w for _, names, _ in entries for w in {w for n in names for w in tokens(plain(n)) if not w.isdigit()})
         #: Words of several entries name a kind (lake, valley, office), not the thing itself.
         self.kinds = {w for w, n in words.items() if n > 1}
@@ -148,21 +148,34 @@ class Matcher:
 
     def _path(self, ts: list[str], entry: str) -> None:
         self.trie.add("".join(ts), entry)
+        if ts not in self.paths:
+            self.paths.append(ts)
+
+    def _abbreviates(self, short: str, word: str) -> bool:
+        if len(word) <= len(short) or word[0] != short[0]:
+            return False
+        kind = word in self.kinds
+        return word.startswith(short) and (len(short) > 2 or kind) or kind and word[-1] == short[-1] and _within(short, word)
+
+    def _expansions(self, short: str) -> dict[int, list[str]]:
+        """Words that a token abbreviates, by the path that holds them."""
+        if short not in self.short:
+            if len(self.short) > 100_000:
+                self.short.clear()
+            words = {w for w in self.words if self._abbreviates(short, w)}
+            found = {i: [w for w in ts if w in words] for i, ts in enumerate(self.paths)} if words else {}
+            self.short[short] = {i: ws for i, ws in found.items() if ws}
+        return self.short[short]
 
     def _expanded(self, ts: list[tuple[str, bool]]) -> Iterator[list[str]]:
-        """Tokens with the shortened ones replaced by words of the list that they abbreviate."""
-        options = []
-        for w, dotted in ts:
-            full = [w]
-            if w not in self.words and not w.isdigit() and (dotted or len(w) <= 4):
-                full = [x for x in sorted(self.words) if len(x) > len(w) and x[0] == w[0] and (x.startswith(w) and (len(w) > 2 or x in self.kinds) or x[-1] == w[-1] and x in self.kinds and _within(w, x))] or full
-            options.append(full[:40])
-        total = 1
-        for o in options:
-            total *= len(o)
-        if total > 400:
-            options = [o if len(o) < 20 else o[:1] for o in options]
-        yield from map(list, product(*options))
+        """Tokens with those cut short replaced by the words of a path that they abbreviate, for each path that has one for all of them."""
+        cut = {i: self._expansions(w) for i, (w, dotted) in enumerate(ts) if w not in self.words and not w.isdigit() and (dotted or len(w) <= 4)}
+        cut = {i: e for i, e in cut.items() if e}
+        if not cut:
+            yield [w for w, _ in ts]
+            return
+        for path in set.intersection(*map(set, cut.values())):
+            yield from map(list, product(*(dict.fromkeys(cut[i][path]) if i in cut else [w] for i, (w, _) in enumerate(ts))))
 
     def readings(self, value: str) -> list[tuple[int, str, list[tuple[str, bool]]]]:
         """(penalty, text, tokens) of the ways to read a value, plainest first."""
@@ -184,8 +197,8 @@ class Matcher:
                     break
                 u = v
             add(u, 0)
-            for part in re.split(r"\s*/\s*|\s+-\s+|\s*;\s*", u)[:1]:
-                add(part, 0)
+            for n, part in enumerate(re.split(r"\s*/\s*|\s+-\s+|\s*;\s*", u)):
+                add(part, int(n > 0))
         for t in list(texts):
             if t.count(",") == 1:
                 a, b = (x.strip() for x in t.split(","))
@@ -200,38 +213,31 @@ class Matcher:
                 out.append((penalty, t, ts))
         return out
 
-    def _initials(self, ts: list[tuple[str, bool]]) -> list[list[tuple[str, bool]]]:
-        """Readings in which a run of single letters stands for the kinds with those initials."""
-        out = [ts]
-        letters = [i for i, (w, _) in enumerate(ts) if len(w) == 1]
-        if len(letters) >= 2 and letters == list(range(letters[0], letters[0] + len(letters))) and len(letters) < len(ts):
-            groups = [[x for x in sorted(self.kinds) if x[0] == ts[i][0]] for i in letters]
-            for combo in product(*groups):
-                out.append(ts[: letters[0]] + [(x, False) for x in combo] + ts[letters[-1] + 1 :])
-        return out[:60]
-
     def all_within(self, value: str, closest: bool = False, most: int = 3) -> dict[str, int]:
         """Every entry within the distance that the value's length allows: {id: cost}.
 
-        A cost is twice the edits, and one more for a reading that drops a part. With `closest`
-        the distance is raised step by step and the search ends at the first that finds any.
+        A cost is twice the edits, and one more for a reading that drops a part. With `closest` an
+        acronym settles the matter, and otherwise the distance is raised step by step and the
+        search ends at the first that finds any.
         """
         found: dict[str, int] = {}
-        for penalty, text, ts in self.readings(value):
-            letters = "".join(_WORD.findall(text))
-            for i in self.exact.get(letters, ()):
+        keys: dict[str, tuple[int, list[str]]] = {}
+        readings = self.readings(value)
+        for penalty, text, _ in readings:
+            for i in self.exact.get("".join(_WORD.findall(text)), ()):
                 found[i] = min(found.get(i, 99), penalty)
-        if found:
+        if found and closest:
             return found
-        keys: dict[str, tuple[int, list[str]]] = {}
-        for penalty, _, ts in self.readings(value):
-            for variant in self._initials(ts):
-                for words in self._expanded(variant):
-                    keys.setdefault("".join(words), (penalty, [w for w in words if w.isdigit()]))
-        for edits in range(most + 1):
+        for penalty, _, ts in readings:
+            for words in self._expanded(ts):
+                key, numbers = "".join(words), [w for w in words if w.isdigit()]
+                if key not in keys or penalty < keys[key][0]:
+                    keys[key] = (penalty, numbers)
+        for edits in range(most + 1) if closest else (most,):
             for key, (penalty, numbers) in keys.items():
-                if edits <= allowed(len(key)):
-                    for i, (d, path) in self.trie.search(key, edits).items():
+                reach = allowed(len(key))
+                if edits <= reach or not closest:
+                    for i, (d, path) in self.trie.search(key, min(edits, reach)).items():
                         if re.findall(r"\d+", path) == numbers:
                             found[i] = min(found.get(i, 99), 2 * d + penalty)
             if found and closest:
@@ -243,31 +249,63 @@ class Matcher:
         return min(found, key=lambda i: (found[i], i)) if found else NONE
 
 
-@lru_cache(maxsize=4)
+#: Matchers of a worker by their list.
+_MATCHERS: dict[tuple, Matcher] = {}
+
+
 def _matcher(entries: tuple) -> Matcher:
-    return Matcher(entries)
+    if entries not in _MATCHERS:
+        if len(_MATCHERS) > 4:
+            _MATCHERS.clear()
+        _MATCHERS[entries] = Matcher(entries)
+    return _MATCHERS[entries]
 
 
-def map_values(df: DataFrame, key: str, field: str, entries: list[tuple[str, list[str], list[str]]]) -> DataFrame:
-    """(`key`, field, ref_id) of each non-blank value; distinct values are matched once.
+def matches(values: DataFrame, entries: list[tuple[str, list[str], list[str]]], every: bool = False) -> DataFrame:
+    """(value, ref_id, cost) of each value of `values` (value, distinct) that isn't blank: its entry or none.
 
-    A hot value is one row after `distinct`, and joins back through a broadcastable or skew-split
-    equi-join on the value.
+    With `every`, all entries within the distance, and no row for a value without any. Distinct
+    values are few bytes and much work, so they are spread over four tasks a core.
     """
-    frozen = tuple((i, tuple(names), tuple(acronyms)) for i, names, acronyms in entries)
+    spark = values.sparkSession
+    sent = spark.sparkContext.broadcast(tuple((i, tuple(names), tuple(acronyms)) for i, names, acronyms in entries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _matcher(frozen)
+        m = _matcher(sent.value)
         for b in batches:
-            values = b.column(0).to_pylist()
-            ids = [None if is_blank(v) else m.best(v) for v in values]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, type=pa.string())], names=["value", "ref_id"])
+            rows = []
+            for v in b.column(0).to_pylist():
+                if not is_blank(v):
+                    found = m.all_within(v, closest=not every)
+                    if not every:
+                        best = min(found, key=lambda i: (found[i], i)) if found else NONE
+                        found = {best: found.get(best)}
+                    rows += [(v, i, c) for i, c in found.items()]
+            cols = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))], names=["value", "ref_id", "cost"])
+
+    tasks = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return values.select("value").repartition(tasks, "value").mapInArrow(run, "value string, ref_id string, cost bigint")
 
+
+def map_values(df: DataFrame, key: str, field: str, entries: list[tuple[str, list[str], list[str]]]) -> DataFrame:
+    """(`key`, field, ref_id) of each non-blank value; distinct values are matched once.
+
+    A hot value is one row after `distinct`, and joins back through a broadcastable or skew-split
+    equi-join on the value.
+    """
     rows = df.select(F.col(key).alias("k"), F.col(field).alias("value")).where("k is not null and value is not null").distinct()
-    mapped = rows.select("value").distinct().repartition(MATCH_TASKS, "value").mapInArrow(run, "value string, ref_id string").where("ref_id is not null")
+    mapped = matches(rows.select("value").distinct(), entries).drop("cost")
     return rows.join(mapped, "value").select(F.col("k").alias(key), F.lit(field).alias("field"), "ref_id").distinct()
 
 
+def unmatched(df: DataFrame, key: str, field: str, entries: list[tuple[str, list[str], list[str]]]) -> DataFrame:
+    """(field, value, n_rows): the non-blank values that belong to no entry, with the number of their rows; repeated rows count once."""
+    counts = df.select(F.col(key).alias("k"), F.col(field).alias("value")).where("value is not null").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+    none = matches(counts.select("value"), entries).where(F.col("ref_id") == NONE).select("value")
+    return counts.join(none, "value").select(F.lit(field).alias("field"), "value", "n_rows")
+
+
 def entries_of(ref: DataFrame, key: str, names: list[str], acronyms: list[str] = ()) -> list[tuple[str, list[str], list[str]]]:
     """A small reference table on the driver; MAX_ENTRIES + 1 rows at most are taken, more is an error."""
     rows = ref.select(key, *names, *acronyms).where(F.col(key).isNotNull()).orderBy(key).limit(MAX_ENTRIES + 1).collect()

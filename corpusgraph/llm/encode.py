@@ -22,9 +22,11 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,11 +178,19 @@ def decode_tree(ids: list[int], path: str = RANK_FILE, leaf: int = 4096) -> str:
     return build(0, len(ids)).decode("utf-8")
 
 
+def _shipped(df: DataFrame, path: str) -> str:
+    """Send the rank file to the executors, which need not have it; its name among their files."""
+    df.sparkSession.sparkContext.addFile(path)
+    return Path(path).name
+
+
 def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = RANK_FILE) -> DataFrame:
     """`key` and `ids` (array of int) of every row; one narrow pass, nothing is shuffled."""
 
+    name = _shipped(df, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, words, _, lengths = encoder(path)
+        encode, words, _, lengths = encoder(SparkFiles.get(name))
         for b in batches:
             flat, offsets = [], [0]
             for t in b.column(1).to_pylist():
@@ -201,8 +211,10 @@ def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
     Certain places cut a text into words exactly, so a count needs no joins.
     """
 
+    name = _shipped(df, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, _, counts, _ = encoder(path)
+        encode, _, counts, _ = encoder(SparkFiles.get(name))
         for b in batches:
             n = [leaf_count(t, encode, counts) if t else 0 for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, type=pa.int64())], names=["k", "n"])

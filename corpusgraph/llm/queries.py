@@ -21,7 +21,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Items that the splitter had to cut."""
     docs = read_table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("item_id"), "text")
     pages = read_table(spark, d, "ocr_results").select(F.col("result_id").alias("item_id"), "text")
-    parts = [split.split_items(t, "item_id", "text", with_text=False).withColumn("src", F.lit(src)) for src, t in (("documents", docs), ("ocr_results", pages))]
+    parts = [split.split_items(t, "item_id", "text").withColumn("src", F.lit(src)) for src, t in (("documents", docs), ("ocr_results", pages))]
     return parts[0].unionByName(parts[1]).where("piece_no = 2").select("src", "item_id")
 
 
@@ -117,12 +117,18 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """Report of the values that belong to no entry: field, value and in how many rows it stands."""
     df = read_table(spark, d, "image_records")
+    a, b = (canonical.unmatched(df, "id", field, entries) for field, entries in _reference(spark, d).items())
+    return a.unionByName(b)
+
+
+def p4_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """All entries within the distance of each distinct value: field, value, ref_id, cost."""
+    df = read_table(spark, d, "image_records")
     parts = []
     for field, entries in _reference(spark, d).items():
-        none = canonical.map_values(df, "id", field, entries).where(F.col("ref_id") == canonical.NONE)
-        values = df.select("id", F.col(field).alias("value")).where("value is not null").distinct()
-        parts.append(values.join(none, "id", "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("field", F.lit(field)))
-    return parts[0].unionByName(parts[1]).select("field", "value", "n_rows")
+        values = df.select(F.col(field).alias("value")).where("value is not null").distinct()
+        parts.append(canonical.matches(values, entries, every=True).select(F.lit(field).alias("field"), "value", "ref_id", "cost"))
+    return parts[0].unionByName(parts[1])
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -132,6 +138,13 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b).select("src", "key_a", "key_b")
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The class of equal looks of every row with ink: src, key, class_id, forms, members."""
+    a = skeleton.look_classes(read_table(spark, d, "image_records"), "id", "description").withColumnRenamed("id", "key")
+    b = skeleton.look_classes(read_table(spark, d, "ocr_results"), "result_id", "text").withColumnRenamed("result_id", "key")
+    return a.withColumn("src", F.lit("image_records")).unionByName(b.withColumn("src", F.lit("ocr_results")))
+
+
 def p5_forms(spark: SparkSession, d: str) -> DataFrame:
     """All texts of both tables in their one consistent form."""
     a = skeleton.normalized(read_table(spark, d, "image_records"), "id", "description").select(F.lit("image_records").alias("src"), F.col("id").alias("key"), "form")
@@ -145,9 +158,14 @@ def p8_slots(spark: SparkSession, d: str) -> DataFrame:
     return pack.pack(sizes, "doc_id", "n_tokens")
 
 
+MAX_LANGUAGES = 100
+
+
 def _languages(spark: SparkSession, d: str) -> dict[str, frozenset[str]]:
     table = read_table(spark, d, "common_words")
-    names = [r[0] for r in table.select("lang").where("lang is not null").distinct().orderBy("lang").limit(100).collect()]
+    names = [r[0] for r in table.select("lang").where("lang is not null").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError("too many languages for lists of common words")
     return {n: text_quality.common_words(table.where(F.col("lang") == n)) for n in names}
 
 
@@ -156,6 +174,11 @@ def p9_levels(spark: SparkSession, d: str) -> DataFrame:
     return reading.rate(spread(read_table(spark, d, "documents").select("doc_id", "text")), read_table(spark, d, "reading_labels"), _languages(spark, d))
 
 
+def p9_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """How many of the readers' labels are met by cuts fitted without them."""
+    return reading.agreement(p9_levels(spark, d).select("doc_id", "level"), read_table(spark, d, "reading_labels"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """The band of every English prose document."""
     return p9_levels(spark, d).select("doc_id", "band")
@@ -169,8 +192,10 @@ QUERIES = {
     "p2_texts": p2_texts,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p4_candidates": p4_candidates,
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
+    "p5_classes": p5_classes,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p6_cases": p6_cases,
@@ -178,6 +203,7 @@ QUERIES = {
     "p6_texts": p6_texts,
     "p7_ids": p7_ids,
     "p8_slots": p8_slots,
+    "p9_agreement": p9_agreement,
     "p9_found": p9_found,
     "p9_levels": p9_levels,
 }

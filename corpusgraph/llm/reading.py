@@ -35,7 +35,10 @@ BUCKETS = 1 << 16
 GRID = np.linspace(-2.0, 2.0, 9)
 #: Where levels may lie; wider than the grid, so that clear cases don't all end on its edge.
 RANGE = np.linspace(-6.0, 6.0, 241)
-ROUNDS = 4
+#: Rounds end when the words' slopes move by less than SETTLED on the average over all occurrences, or at MAX_ROUNDS.
+MAX_ROUNDS, SETTLED = 10, 0.02
+#: One labelled document in HELD_OUT is kept from the cuts when their agreement is measured.
+HELD_OUT = 5
 MAX_LABELS = 50_000
 LANGUAGE = "en"
 _WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
@@ -150,7 +153,7 @@ def refit(counts: np.ndarray, slope: np.ndarray, ridge: float = 4.0) -> tuple[np
     return easiness, np.where(seen, a, 0.0)
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, rounds: int = MAX_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Words' parameters by alternating optimisation over `docs` (k, start, ids)."""
     centre = docs.agg(F.avg("start").alias("m"), F.stddev_pop("start").alias("s"), F.count(F.lit(1)).alias("n")).first()
     easiness, slope = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -188,8 +191,12 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
         at = table.column(0).to_numpy()
         for i in range(k):
             counts[at, i] = table.column(i + 1).to_numpy()
+        before = slope
         easiness, slope = refit(counts, slope)
         sent.unpersist()
+        weight = counts.sum(axis=1)
+        if r and (weight * np.abs(slope - before)).sum() < SETTLED * weight.sum():
+            break
     return easiness, slope
 
 
@@ -239,13 +246,30 @@ def cuts(pairs: list[tuple[float, int]]) -> tuple[float, float, int]:
     return best[1:]
 
 
-def rate(df: DataFrame, labels: DataFrame, languages: dict[str, frozenset[str]], key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def labelled(out: DataFrame, labels: DataFrame, key: str) -> list[tuple[object, float, int]]:
+    """(document, level, band) of at most MAX_LABELS labels."""
+    given = labels.select(F.col(key).alias("k"), "band").where("k is not null and band between 1 and 3").orderBy("k", "band").limit(MAX_LABELS)
+    return [(r["k"], r["level"], r["band"]) for r in out.join(F.broadcast(given), "k").select("k", "level", "band").collect()]
+
+
+def rate(df: DataFrame, labels: DataFrame, languages: dict[str, frozenset[str]], key: str = "doc_id", text: str = "text", rounds: int = MAX_ROUNDS) -> DataFrame:
     """(`key`, level, band) of every document that is mainly English prose."""
     docs = checkpoint(prepare(df, key, text, languages))
     out = checkpoint(levels(docs, *fit(docs, rounds)))
-    given = labels.select(F.col(key).alias("k"), "band").where("k is not null and band between 1 and 3").orderBy("k", "band").limit(MAX_LABELS)
-    pairs = [(r["level"], r["band"]) for r in out.join(F.broadcast(given), "k").select("level", "band").collect()]
-    low, high, direction = cuts(pairs)
+    low, high, direction = cuts([(t, b) for _, t, b in labelled(out, labels, key)])
     level = F.col("level") * F.lit(direction)
     band = F.when(level < F.lit(low), 1).when(level < F.lit(high), 2).otherwise(3).cast("bigint")
     return out.select(F.col("k").alias(key), level.alias("level"), band.alias("band"))
+
+
+def agreement(rated: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row (n_fitted, n_held_out, n_agreeing): labels met by cuts that were fitted without them.
+
+    rated: (`key`, level); one labelled document in HELD_OUT, chosen by its key's hash, is held out.
+    """
+    given = labelled(rated.withColumnRenamed(key, "k"), labels, key)
+    out = {k for k, _, _ in given if xxhash.xxh32_intdigest(str(k)) % HELD_OUT == 0}
+    low, high, direction = cuts([(t, b) for k, t, b in given if k not in out])
+    kept = [(t * direction, b) for k, t, b in given if k in out]
+    hits = sum((1 if t < low else 2 if t < high else 3) == b for t, b in kept)
+    return rated.sparkSession.createDataFrame([(len(given) - len(kept), len(kept), hits)], "n_fitted bigint, n_held_out bigint, n_agreeing bigint")

@@ -3,7 +3,9 @@
 Method: counts of words, lines and signs, repetition (shares of duplicate lines and paragraphs,
 share of characters covered by the most frequent word n-gram), and the kinds of lines (see
 line_kinds) are combined into a verdict: a text is no prose if more than half of its characters,
-leaving aside lines printed at its head and foot, stand in lists, tables or unreadable matter.
+leaving aside lines printed at its head and foot (EDGE_LINES at either end), stand in lists, tables
+or unreadable matter; and prose is boilerplate if more than REPEATED of its characters only say what
+was said before, be it in duplicate lines, in duplicate paragraphs or in one n-gram over and over.
 
 Defined results: null, empty and blank texts have the verdict "empty" and null shares; texts in
 capitals or as question and answer are prose; a text of furniture only is judged with it.
@@ -24,6 +26,9 @@ from corpusgraph.llm import line_kinds as L
 #: How many lines at either end may be furniture.
 EDGE_LINES = 3
 NGRAMS = (2, 3, 4)
+#: Share of a text in repeated lines, paragraphs or one n-gram above which it is boilerplate.
+REPEATED = 0.8
+BOILERPLATE = "boilerplate"
 MAX_COMMON = 100_000
 
 FIELDS = (
@@ -89,15 +94,17 @@ def statistics(text: str | None, memo: L.Tokens) -> tuple:
             if count > 1:
                 covered = max(covered, min(1.0, count * sum(map(len, gram)) / chars))
     paragraphs = [" ".join(p.split()) for p in text.replace("\r\n", "\n").split("\n\n")]
+    paragraphs = [p for p in paragraphs if p]
     prose = share[L.PROSE] / kept
+    again = (_duplicates([x.text for x in lines]), _duplicates(paragraphs), covered)
     if prose * 2 >= 1:
-        verdict = L.PROSE
+        verdict = BOILERPLATE if max(again) > REPEATED else L.PROSE
     else:
         verdict = max((L.LIST, L.TABLE, L.JUNK), key=lambda k: share[k])
     return (
         len(text), words, len(lines), letters / words if words else 0.0, (chars - letters - digits) / chars,
         sum(1 for x in lines if L._END.search(x.text)) / len(lines), sum(x.common for x in lines) / words if words else 0.0,
-        _duplicates([x.text for x in lines]), _duplicates([p for p in paragraphs if p]), covered,
+        *again,
         prose, share[L.LIST] / kept, share[L.TABLE] / kept, share[L.JUNK] / kept, verdict,
     )
 
