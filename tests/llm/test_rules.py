@@ -15,7 +15,7 @@ COMMON = frozenset("the a of and to in was it on at by is that with from for he
     [
         "Share this page with your friends if you like it.\n" * 40,
         "The notice was printed for the readers of the paper, and it is not to be copied.\n\n" * 12,
-        "was it on the hill " * 60 + "and they had the lamp.",
+        "was it a lamp " * 60 + "and they had the lamp.",
     ],
 )
 def test_repetition_is_boilerplate(text):
