@@ -8,6 +8,7 @@ paragraph and a narrow line without any common word still count as prose.
 from __future__ import annotations
 
 import re
+import struct
 
 from corpusgraph.llm.skeleton import prototype
 
@@ -26,9 +27,13 @@ _HARD = re.compile(r"[bcdfghjklmnpqrstvwxz]{6,}|(.)\1{3,}", re.I)
 
 
 #: Width of a field in the packed figures of a token; sums of a whole line must fit.
-_BITS = 26
-_MASK = (1 << _BITS) - 1
+_BITS = 32
 _SHIFTS = tuple(_BITS * i for i in range(8))
+_FIELDS = struct.Struct("<8I").unpack
+
+
+def unpacked(v: int) -> tuple[int, ...]:
+    return _FIELDS(v.to_bytes(32, "little"))
 
 
 class Tokens(dict):
@@ -65,7 +70,7 @@ class Line:
     def __init__(self, text: str, memo: Tokens):
         s = self.text = text.strip()
         v = self.packed = sum(map(memo.__getitem__, s.split()))
-        self.tokens, self.chars, self.words, self.letters, self.digits, self.common, self.mixed, self.odd = [v >> x & _MASK for x in _SHIFTS]
+        self.tokens, self.chars, self.words, self.letters, self.digits, self.common, self.mixed, self.odd = unpacked(v)
         self.form = self._form() if v else BLANK
 
     def _form(self) -> str:
@@ -131,7 +136,7 @@ def _judge(lines: list[Line], out: list[str], i: int, j: int) -> None:
     """Kinds of a stretch of undecided lines: prose if it runs on and holds common words."""
     part = lines[i:j]
     total = sum([x.packed for x in part])
-    tokens, _, words, _, _, common, mixed, odd = [total >> x & _MASK for x in _SHIFTS]
+    tokens, _, words, _, _, common, mixed, odd = unpacked(total)
     if mixed * 4 > tokens:
         kind = JUNK
     elif common * 8 >= words and words >= 4:
