@@ -42,3 +42,31 @@ def test_partition_of_chunks(spark):
 @pytest.mark.parametrize("name", ["q_clean_page", "q_cleaning_actions", "q_curated_pages", "q_curated_chunks", "q_normalize", "q_canonical_line"])
 def test_runs(spark, name):
     assert catalog.QUERIES[name](spark, D).count() > 0
+
+
+def unchanged(spark):
+    """Keys of pages in records of which NFKC changes no page."""
+    import unicodedata
+
+    from corpusgraph.plans import corpus_queries
+
+    rows = corpus_queries.page_rows(spark, D).select("record_id", "page", "final_text").collect()
+    other = {r["record_id"] for r in rows if unicodedata.normalize("NFKC", r["final_text"] or "") != (r["final_text"] or "")}
+    return {(r["record_id"], r["page"]) for r in rows if r["record_id"] not in other}, {(r["record_id"], r["page"]) for r in rows}
+
+
+@pytest.mark.parametrize("name,stored", [("q_normalize", "q_tidy"), ("q_clean_page", "q_clean_stored"), ("q_cleaning_actions", "q_clean_stored"), ("q_curated_pages", "q_curated_stored")])
+def test_compatible_form_agrees_with_the_stored_one(spark, name, stored):
+    """Queries without SQL give what those with SQL give wherever NFKC has nothing to do."""
+    same, every = unchanged(spark)
+    a, b = catalog.QUERIES[name](spark, D), catalog.QUERIES[stored](spark, D)
+    cols = [c for c in a.columns if c in b.columns]
+    one, two = ({(r["record_id"], r["page"]): tuple(r) for r in df.select(*cols).collect()} for df in (a, b))
+    assert set(one) == set(two) == every
+    assert len(cols) > 2
+    assert same
+    assert all(one[k] == two[k] for k in same)
+
+
+def test_every_query_without_sql_is_named(spark):
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == {"q_clean_page", "q_cleaning_actions", "q_curated_pages", "q_curated_chunks", "q_normalize", "q_canonical_line"}

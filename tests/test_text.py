@@ -73,3 +73,16 @@ def test_nulls(spark):
     c = F.col("c")
     row = df.select(T.clean(c), T.node_id("a", c), T.is_boilerplate(c), T.normalize(c)).first()
     assert tuple(row) == ("", "a:unknown", None, None)
+
+
+@pytest.mark.parametrize(
+    "before,after,expected",
+    [
+        ("", "text of a line", False), ("text", "", False), ("THE HEADING", "goes on with more", False), ("it went on for a while", "NOTE: this is new", False),
+        ("12", "goes on for a while here", False), ("it went on for a while", "- an item of a list", False), ("it went on for a while.", "then it stopped", False),
+        ("it went on", "Then it stopped", False), ("it went on for a while", "then it stopped", True), ("it went on for a while", "Then it stopped at once", False),
+        ("it went on for a while and for a good while longer", "Then it stopped at the gate of it", True), ("it went on for a while", "From the gate it went", False),
+    ],
+)
+def test_lines_that_go_on(spark, before, after, expected):
+    assert spark.range(1).select(T.joins(F.lit(before), F.lit(after))).first()[0] is expected
