@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.operators import farfield
 from corpusgraph.operators.manifest import with_ordinal
 from corpusgraph.session import checkpoint
 
@@ -149,32 +150,26 @@ def _cells(points: DataFrame, side: float, suffix: str, around: bool) -> DataFra
     return out.select("*", F.inline(steps)).withColumn("cx", F.col("cx") + F.col("sx")).withColumn("cy", F.col("cy") + F.col("sy")).drop("sx", "sy")
 
 
-def push_forces(points: DataFrame, alpha: float, tile: int = 2_000_000) -> DataFrame:
+def push_forces(points: DataFrame, alpha: float) -> DataFrame:
     """(id, fx, fy): how far the other points in reach push each point (id string, x, y, r).
 
     A point goes to the nine squares as wide as the reach about its own; a square works out the
-    forces on its own points in tiles of so many pairs. Points at one place don't push each other.
+    forces on its own points, see `farfield`. Points at one place don't push each other.
     """
     side = math.sqrt(REACH2)
     own = (F.col("cx") == F.floor(F.col("x") / side)) & (F.col("cy") == F.floor(F.col("y") / side))
     p = _cells(points.select("id", "x", "y", "r"), side, "", True).withColumn("own", own).withColumn("id", F.when(F.col("own"), F.col("id")))
+    law = (REACH2, LIFT, PUSH * alpha, MOST_PUSH, GAP, COLLISION * alpha)
 
     def forces(t: pa.Table) -> pa.Table:
         x, y, r, mine = (t.column(c).to_numpy() for c in ("x", "y", "r", "own"))
-        at = np.flatnonzero(mine)
-        out = np.zeros((2, len(at)))
-        step = max(1, tile // max(1, len(x)))
-        for i in range(0, len(at), step):
-            j = at[i : i + step]
-            dx, dy = x[j, None] - x, y[j, None] - y
-            d2 = dx * dx + dy * dy + LIFT
-            d, near = np.sqrt(d2), r[j, None] + r + GAP
-            force = np.minimum(MOST_PUSH, PUSH * alpha / d2) + np.maximum(near - d, 0) * (COLLISION * alpha)
-            force = np.where(d2 <= REACH2, force, 0) / d
-            out[0, i : i + step], out[1, i : i + step] = (dx * force).sum(axis=1), (dy * force).sum(axis=1)
-        return pa.table({"id": t.column("id").filter(t.column("own")).cast(pa.string()), "fx": pa.array(out[0]), "fy": pa.array(out[1])})
-
-    return p.groupBy("cx", "cy").applyInArrow(forces, "id string, fx double, fy double")
+        fx, fy = farfield.pushes((x[mine], y[mine], r[mine]), (x, y, r), law)
+        return pa.table({"id": t.column("id").filter(t.column("own")).cast(pa.string()), "fx": pa.array(fx), "fy": pa.array(fy)})
+
+    # Few bytes and much work: a number of tasks is asked for, or all would end up in one.
+    spark = points.sparkSession
+    tasks = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return p.repartition(tasks, "cx", "cy").groupBy("cx", "cy").applyInArrow(forces, "id string, fx double, fy double")
 
 
 def force_step(state: DataFrame, edges: DataFrame, alpha: float) -> DataFrame:

@@ -25,3 +25,29 @@ def test_all_nodes_of_the_layout(spark):
     rows = catalog.QUERIES["q_close_counts"](spark, D).collect()
     assert len(rows) == len(pts)
     assert {r["id"]: r["n"] for r in rows} == brute_force(pts)
+
+
+def test_pushes_against_all_pairs():
+    import numpy as np
+
+    from corpusgraph.operators import farfield
+
+    rng = np.random.RandomState(3)
+    law = (V.REACH2, V.LIFT, V.PUSH, V.MOST_PUSH, V.GAP, V.COLLISION)
+    angle = rng.uniform(0, 7, 6000)
+    ring = 250 + 42 * rng.randint(0, 7, 6000)
+    x, y, r = np.cos(angle) * ring, np.sin(angle) * ring, rng.uniform(7, 24, 6000)
+    x[:40], y[:40] = x[40], y[40]
+    own = (x > 0) & (x < 300)
+    a, b = (x[own], y[own], r[own]), (x, y, r)
+    want = farfield.all_pairs(*a, *b, law)
+    for levels in (1, 2, 3, 4, 5, 6):
+        assert np.abs(farfield.pushes(a, b, law, levels) - want).max() < 1e-10
+
+
+def test_more_points_are_not_all_pairs():
+    from corpusgraph.operators import farfield
+
+    # Points of the layout's densest square and of all squares about it, at some 1 GB of records.
+    assert farfield.finest(100_000, 550_000, 1161.0**2, V.REACH2) >= 3
+    assert farfield.finest(20, 50, 1161.0**2, V.REACH2) == 0
