@@ -64,3 +64,58 @@ def test_bitmap_holds_what_it_was_given(spark):
     words = np.frombuffer(bits, dtype=np.uint64)
     at = [(k & 0xFFFFFFFFFFFFFFFF) >> (64 - size) for k in ks]
     assert all(int(words[i >> 6]) >> (i & 63) & 1 for i in at)
+
+
+def altered(rng, words, n):
+    """The words with n of them, far apart, replaced by others that stand nowhere else."""
+    out = list(words)
+    for k in rng.sample(range(2, len(words) - 2, 6), n):
+        out[k] = "".join(rng.choice("abcdefghijklmnop") for _ in range(12))
+    return out
+
+
+def test_all_pairs_at_the_threshold_are_found(spark):
+    rng = random.Random(25)
+    pool = ["".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(3000)]
+    rows = []
+    for s in range(150):
+        words = rng.choices(pool, k=185)
+        # Four words replaced change twenty shingles of 188 on either side.
+        for i, w in enumerate((words, altered(rng, words, 4))):
+            rows.append((f"{s}-{i}", f"s{s:03d}", i, 2, " ".join(w) + "\n" + NOTICE))
+    sets = [set(X.shingles(X.folded(r[4]).split()).tolist()) for r in rows]
+    near = [len(x & y) / len(x | y) for x, y in zip(sets[::2], sets[1::2])]
+    assert min(near) >= 0.8 and max(near) < 0.86
+    df = spark.createDataFrame(rows, "doc string, source string, cluster bigint, need int, text string")
+    assert X.repeated_lines(df).count() == 0
+
+
+def test_near_pairs_against_all_pairs():
+    import numpy as np
+
+    rng = np.random.RandomState(4)
+    sets, clusters = [], []
+    for g in range(40):
+        own = rng.randint(0, 1 << 32, rng.randint(50, 260), dtype=np.uint32)
+        for k in range(6):
+            other = rng.randint(0, 1 << 32, len(own), dtype=np.uint32)
+            keep = rng.rand(len(own)) < rng.uniform(0.8, 1)
+            # What all texts of a source say stands in each.
+            sets.append(np.unique(np.concatenate([own[keep], other[: rng.randint(0, 20)], np.arange(0, 1 << 30, 1 << 26, dtype=np.uint32)])))
+            clusters.append(len(clusters))
+    sizes = np.array([len(x) for x in sets])
+    low = [x[: X.sketch_length(len(x))] for x in sets]
+    share = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    want = {(i, j) for i in range(len(sets)) for j in range(i) if share(sets[i], sets[j]) >= X.SIMILARITY}
+    met = {(i, int(j)) for i, near in X.meetings(low, sizes) for j in near if X.may_be_near(low[i], sizes[i], low[j], sizes[j])}
+    assert want and want <= met and len(met) < 1000
+    chosen, same = X.partners(np.array(clusters), low, sizes, np.arange(len(sets)))
+    assert same == [] and {x for p in want for x in p} <= set(chosen.tolist())
+    root = list(range(len(sets)))
+    for a, b in sorted(want):
+        root = [root[b] if r == root[a] else r for r in root]
+    mine = list(range(len(sets)))
+    for a, b in X.near_pairs(np.array(clusters), sets):
+        assert (a, b) in want
+        mine = [mine[b] if r == mine[a] else r for r in mine]
+    assert [[x == r for x in root] for r in root] == [[x == r for x in mine] for r in mine]
